@@ -9,11 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The characters that collapse to one space, and the ones
+# The characters whose runs collapse to one space, and the ones
 # stripped from both ends (U+0000 .. U+0020).
-WHITESPACE_RUN = r"[ \t\x0B\f\r\n]+"
+WHITESPACE = r"[ \t\x0B\f\r\n]"
 STRIPPED = "".join(chr(c) for c in range(0x21))
 
+# A run that is not a single space already: most runs are, and need no rewrite.
+WHITESPACE_RUN = rf"[\t\x0B\f\r\n]{WHITESPACE}*| {WHITESPACE}+"
+
 # Every character below U+0300 is unchanged by NFC and never combines with its
 # predecessor, so only text with a character outside this range needs NFC.
 MAY_CHANGE_UNDER_NFC = r"[^\x00-\u02FF]"

@@ -35,32 +35,25 @@ def classify_changes(current: DataFrame, stored: DataFrame) -> DataFrame:
 
     ``current`` has ``docId, uri, contentHash`` and may have ``readable`` (false
     where extraction gave no text); ``stored`` has ``docId, uri, contentHash``.
-    A document listed twice in ``current`` is an error. Counting the listings
-    partitions by ``docId``, which the join then reuses.
     """
     readable = F.col("readable") if "readable" in current.columns else F.lit(True)
-    now = current.groupBy("docId").agg(
-        F.count(F.lit(1)).alias("_listed"),
-        F.max("uri").alias("_now_uri"),
-        F.max("contentHash").alias("_now_hash"),
-        F.max(readable).alias("_readable"),
+    now = current.select(
+        "docId",
+        F.col("uri").alias("_now_uri"),
+        F.col("contentHash").alias("_now_hash"),
+        readable.alias("_readable"),
     )
     before = stored.select(
         "docId", F.col("uri").alias("_old_uri"), F.col("contentHash").alias("_old_hash")
     )
-    joined = now.join(before, "docId", "full_outer")
     status = (
-        F.when(F.col("_listed").isNull(), DELETED)
-        .when(
-            F.col("_listed") > 1,
-            F.raise_error(F.concat(F.lit("document listed twice: "), F.col("_now_uri"))),
-        )
+        F.when(F.col("_now_uri").isNull(), DELETED)
         .when(~F.col("_readable"), F.when(F.col("_old_uri").isNull(), FAILED).otherwise(KEPT))
         .when(F.col("_old_uri").isNull(), NEW)
         .when(F.col("_now_hash") == F.col("_old_hash"), UNCHANGED)
         .otherwise(CHANGED)
     )
-    return joined.select(
+    return now.join(before, "docId", "full_outer").select(
         "docId", F.coalesce("_now_uri", "_old_uri").alias("uri"), status.alias("status")
     )
 

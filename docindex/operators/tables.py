@@ -47,50 +47,56 @@ def merge_upsert(
     expressions over ``source.*`` (default: all columns). Two source rows with
     one key are an error unless ``unique_source`` vouches for them.
 
-    With ``source_rows`` within ``limit`` the target is never shuffled: the
-    source is broadcast against it. Otherwise one full outer join does it.
+    With ``source_rows`` (a known count) within ``limit``, the source's keys are
+    broadcast to part the target's matched rows from the others: only the matched
+    ones are joined, the others are read and passed on without a shuffle.
+    Otherwise one full outer join does it.
     """
     if not unique_source:
         source = require_unique(source, keys)
     if update is None and update_when is None and insert is None:
         return _replace_rows(target, source, keys, source_rows, limit)
 
+    known_small = source_rows is not None and source_rows <= limit
+    if known_small:
+        matched = keep_keys(target, source, keys, source_rows, limit)
+        others = delete_keys(target, source, keys, source_rows, limit)
+        return others.unionByName(_outer_merge(matched, source, keys, update, update_when, insert))
+    return _outer_merge(target, source, keys, update, update_when, insert)
+
+
+def _outer_merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update: Mapping[str, Column] | None,
+    update_when: Column | None,
+    insert: Mapping[str, Column] | None,
+) -> DataFrame:
     columns = target.columns
-    update = dict(update) if update is not None else {c: F.col(f"source.{c}") for c in columns}
-    insert = dict(insert) if insert is not None else {c: F.col(f"source.{c}") for c in columns}
+    whole_row = {c: F.col(f"source.{c}") for c in columns}
+    update = whole_row if update is None else update
+    insert = whole_row if insert is None else insert
     unknown = (set(update) | set(insert)) - set(columns)
     if unknown:
         raise ValueError(f"not columns of the target: {sorted(unknown)}")
-    matched = F.col("source._in_source").isNotNull()
+
+    in_target = F.col("target._present").isNotNull()
+    updates = F.col("source._present").isNotNull()
     if update_when is not None:
-        matched = matched & F.coalesce(update_when, F.lit(False))
-
-    types = {f.name: f.dataType for f in target.schema.fields}
-    kept = {
-        c: F.when(matched, update[c].cast(types[c])).otherwise(F.col(f"target.{c}"))
-        if c in update
-        else F.col(f"target.{c}")
-        for c in columns
-    }
-    added = {c: insert.get(c, F.lit(None)).cast(types[c]) for c in columns}
-
-    left = target.withColumn("_in_target", F.lit(True)).alias("target")
-    right = source.withColumn("_in_source", F.lit(True)).alias("source")
-    on = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
+        updates = updates & F.coalesce(update_when, F.lit(False))
 
-    if source_rows is not None and source_rows <= limit:
-        rows = left.join(F.broadcast(right), on, "left").select(
-            *[kept[c].alias(c) for c in columns]
-        )
-        # Which source keys exist in the target: at most source_rows of them.
-        hits = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-        fresh = right.join(F.broadcast(hits.distinct()), keys, "left_anti").alias("source")
-        return rows.unionByName(fresh.select(*[added[c].alias(c) for c in columns]))
-
-    present = F.col("target._in_target").isNotNull()
-    return left.join(right, on, "full_outer").select(
-        *[F.when(present, kept[c]).otherwise(added[c]).alias(c) for c in columns]
-    )
+    def value(field) -> Column:
+        old = F.col(f"target.{field.name}")
+        if field.name in update:
+            old = F.when(updates, update[field.name]).otherwise(old)
+        new = insert.get(field.name, F.lit(None))
+        return F.when(in_target, old).otherwise(new).cast(field.dataType).alias(field.name)
+
+    left = target.withColumn("_present", F.lit(True)).alias("target")
+    right = source.withColumn("_present", F.lit(True)).alias("source")
+    on = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
+    return left.join(right, on, "full_outer").select(*[value(f) for f in target.schema.fields])
 
 
 def _replace_rows(

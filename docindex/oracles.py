@@ -150,6 +150,17 @@ SELECT count(*) FILTER (status IN ('new', 'changed', 'unchanged')) AS total,
        count(*) FILTER (status IN ('new', 'changed')) AS n_touched
 FROM status"""
 
+_MERGED_DOCS = _with(
+    "cur prev",
+    """
+SELECT coalesce(p.docId, c.docId) AS docId,
+       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash THEN c.uri ELSE p.uri END AS uri,
+       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash THEN c.text ELSE p.text END AS text,
+       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash
+            THEN c.contentHash ELSE p.contentHash END AS contentHash
+FROM prev p FULL JOIN cur c ON p.docId = c.docId""",
+)
+
 ORACLES: dict[str, str] = {
     "extract_text": f"SELECT url AS uri, {_html_text('html')} AS text FROM pages",
     "extract_with_failures": f"""
@@ -180,16 +191,8 @@ FROM pages WHERE NOT contains(html, 'lang="fr"') AND {_html_text("html")} <> ''"
 SELECT docId, chunkId, embedder, embedderVersion FROM prev_vectors
 WHERE docId NOT IN (SELECT docId FROM gone)""",
     ),
-    "merge_docs": _with(
-        "cur prev",
-        """
-SELECT coalesce(p.docId, c.docId) AS docId,
-       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash THEN c.uri ELSE p.uri END AS uri,
-       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash THEN c.text ELSE p.text END AS text,
-       CASE WHEN p.docId IS NULL OR p.contentHash <> c.contentHash
-            THEN c.contentHash ELSE p.contentHash END AS contentHash
-FROM prev p FULL JOIN cur c ON p.docId = c.docId""",
-    ),
+    "merge_docs": _MERGED_DOCS,
+    "merge_all_docs": _MERGED_DOCS,
     "merge_chunks": _with(
         "prev_chunks touched_chunks",
         """

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docindex.functions.ids import doc_id, sha256_hex
+from docindex.operators.changes import CHANGED, DELETED, NEW, UNCHANGED, classify_changes
 from docindex.operators.chunks import chunk_docs
 from docindex.operators.documents import drop_empty, normalize_docs
+from docindex.operators.sizes import KEY_ROW_BYTES
+from docindex.operators.tables import keep_keys
 from docindex.schemas import EMBEDDINGS, conform
 from docindex.sources.scratch import scratch_path
 
@@ -56,8 +59,10 @@ def vector_codes(embedding: Column) -> Column:
 class Scenario:
     """Base relations over one data folder.
 
-    ``staged`` writes the normalised documents once and reads them back, for
-    queries that use their text several times.
+    What a run would have at hand as a table is written once and read back:
+    the changes between the two states, what is new of a table before it is merged,
+    and with ``staged`` the normalised documents, for queries that use their text
+    several times.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = False) -> None:
@@ -65,6 +70,11 @@ class Scenario:
         self.sf_dir = sf_dir.rstrip("/")
         self.staged = staged
 
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -79,11 +89,7 @@ class Scenario:
     @cached_property
     def current(self) -> DataFrame:
         docs = drop_empty(normalize_docs(self.corpus))
-        if not self.staged:
-            return docs
-        path = scratch_path(self.spark, "docs")
-        docs.write.parquet(path)
-        return self.spark.read.schema(docs.schema).parquet(path)
+        return self.written(docs, "docs") if self.staged else docs
 
     @cached_property
     def previous(self) -> DataFrame:
@@ -122,6 +128,37 @@ class Scenario:
     def previous_embeddings(self) -> DataFrame:
         return stub_embeddings(self.previous_chunks)
 
-    def documents_bound(self) -> int:
-        """No fewer than the current documents; from file footers alone."""
-        return self.table("documents").count()
+    @cached_property
+    def changes(self) -> DataFrame:
+        changes = classify_changes(self.current, self.previous)
+        return self.written(changes.filter(F.col("status") != UNCHANGED), "changes")
+
+    @cached_property
+    def changed_keys(self) -> DataFrame:
+        return self.changes.filter(F.col("status").isin(NEW, CHANGED)).select("docId")
+
+    @cached_property
+    def deleted_keys(self) -> DataFrame:
+        return self.changes.filter(F.col("status") == DELETED).select("docId")
+
+    @cached_property
+    def n_changed(self) -> int:
+        return self.changed_keys.count()
+
+    @cached_property
+    def n_deleted(self) -> int:
+        return self.deleted_keys.count()
+
+    @cached_property
+    def changed(self) -> DataFrame:
+        """The new and changed documents."""
+        return keep_keys(self.current, self.changed_keys, ["docId"], self.n_changed)
+
+    @cached_property
+    def changed_chunks(self) -> DataFrame:
+        return self.written(chunk_docs(self.changed), "chunks")
+
+    def address_bytes(self) -> int:
+        """A bound on the size of the documents' ids and addresses."""
+        widest = F.octet_length("uri") + KEY_ROW_BYTES
+        return self.corpus.agg(F.coalesce(F.sum(widest), F.lit(0)).alias("n")).first()["n"]

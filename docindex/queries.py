@@ -160,7 +160,7 @@ def chunk_documents_small(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cascade(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     tables = {"docs": s.previous, "chunks": s.previous_chunks, "embeddings": s.previous_embeddings}
-    return cascade_delete(deleted(s.current, s.previous), tables, ["docId"])[name]
+    return cascade_delete(s.deleted_keys, tables, ["docId"], s.n_deleted)[name]
 
 
 @query
@@ -183,6 +183,16 @@ def merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update where the hash differs, insert what is new."""
     s = Scenario(spark, sf_dir, staged=True)
     differs = F.col("target.contentHash") != F.col("source.contentHash")
+    return merge_upsert(
+        s.previous, s.changed, ["docId"], update_when=differs, source_rows=s.n_changed
+    )
+
+
+@query
+def merge_all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the whole corpus: equal hashes are left alone."""
+    s = Scenario(spark, sf_dir, staged=True)
+    differs = F.col("target.contentHash") != F.col("source.contentHash")
     return merge_upsert(s.previous, s.current, ["docId"], update_when=differs)
 
 
@@ -190,8 +200,8 @@ def merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-all, insert-all: old windows of a shortened document remain."""
     s = Scenario(spark, sf_dir, staged=True)
-    fresh = chunk_docs(new_or_changed(s.current, s.previous))
-    return merge_upsert(s.previous_chunks, fresh, ["chunkId"])
+    fresh = s.changed_chunks
+    return merge_upsert(s.previous_chunks, fresh, ["chunkId"], source_rows=fresh.count())
 
 
 @query
@@ -199,13 +209,15 @@ def merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Composite key; only the vector and its provenance are updated."""
     s = Scenario(spark, sf_dir, staged=True)
     todo = backlog(s.chunks, s.previous_embeddings, MODEL, VERSION)
+    fresh = s.written(stub_embeddings(todo), "embeddings")
     updated = ("embedding", "docId", "chunkContentHash")
     merged = merge_upsert(
         s.previous_embeddings,
-        stub_embeddings(todo),
+        fresh,
         ["chunkId", "embedder", "embedderVersion"],
         update={c: F.col(f"source.{c}") for c in updated},
         insert={c: F.col(f"source.{c}") for c in s.previous_embeddings.columns},
+        source_rows=fresh.count(),
     )
     return _with_codes(merged)
 
@@ -214,8 +226,9 @@ def merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_changed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A changed document's whole chunk set is replaced: no old window remains."""
     s = Scenario(spark, sf_dir, staged=True)
-    changed = new_or_changed(s.current, s.previous)
-    return replace_groups(s.previous_chunks, chunk_docs(changed), changed, ["docId"])
+    return replace_groups(
+        s.previous_chunks, chunk_docs(s.changed), s.changed_keys, ["docId"], s.n_changed
+    )
 
 
 @query
@@ -243,9 +256,8 @@ def _with_codes(embeddings: DataFrame) -> DataFrame:
 @query
 def embed_backlog_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of this run's documents without any vector under their id."""
-    s = Scenario(spark, sf_dir)
-    chunks = chunk_docs(new_or_changed(s.current, s.previous))
-    return backlog(chunks, s.previous_embeddings, MODEL, VERSION, BY_ID).select("chunkId", "docId")
+    s = Scenario(spark, sf_dir, staged=True)
+    return backlog(s.changed_chunks, s.previous_embeddings, MODEL, VERSION, BY_ID).select("chunkId", "docId")
 
 
 @query
@@ -292,6 +304,7 @@ def _two_versions(s: Scenario) -> DataFrame:
         s.previous_embeddings,
         stub_embeddings(s.chunks, NEXT_VERSION),
         ["chunkId", "embedder", "embedderVersion"],
+        unique_source=True,  # a chunk id holds document and position
     )
 
 
@@ -327,7 +340,7 @@ def _index(spark: SparkSession, sf_dir: str, reuse: str) -> DataFrame:
         MODEL,
         VERSION,
         reuse,
-        n_docs=s.documents_bound(),
+        address_bytes=s.address_bytes(),
     )
     return _index_with_codes(rows)
 
