@@ -21,7 +21,8 @@ def spark(tmp_path_factory):
         .appName("docindex-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))

@@ -1,0 +1,393 @@
+"""Whole runs, checked against a full build by brute force."""
+
+import hashlib
+import random
+
+import pytest
+
+from docindex import IndexConfig, IndexStore, index_directory, run_increment
+from docindex.embedders import HashEmbedder
+from docindex.extractors import utf8_text
+from docindex.operators.documents import extract_with
+from docindex.plans.increment import MassDeletionError
+from docindex.schemas import CHUNKS, DOCS, EMBEDDINGS, RETRIEVAL_INDEX
+from docindex.sources import store as store_module
+
+SIZE, OVERLAP = 10, 3
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def windows(text, size=SIZE, overlap=OVERLAP):
+    for start in range(0, len(text), size - overlap):
+        end = min(start + size, len(text))
+        yield start, end, text[start:end]
+
+
+def full_build(corpus, version="1", size=SIZE, overlap=OVERLAP):
+    rows = []
+    for uri, text in corpus.items():
+        for start, end, part in windows(text, size, overlap):
+            vector = tuple(HashEmbedder(4)([part], "m")[0])
+            doc = sha(uri)
+            rows.append((doc, uri, sha(f"{doc}_{start}_{end}"), part, start, end, vector, "m", version))
+    return sorted(rows)
+
+
+class NoCalls:
+    def __call__(self, texts, model):
+        raise AssertionError("nothing should be embedded")
+
+
+class Refusing:
+    """Refuses texts that contain any of the given strings."""
+
+    def __init__(self, *parts):
+        self.parts = parts
+
+    def __call__(self, texts, model):
+        if any(p in t for t in texts for p in self.parts):
+            raise TimeoutError("slow")
+        return HashEmbedder(4)(texts, model)
+
+
+class Index:
+    def __init__(self, spark, path):
+        self.spark = spark
+        self.path = str(path)
+        self.store = IndexStore(spark, self.path)
+
+    def run(self, corpus, embedder=None, **settings):
+        settings = {"max_delete_fraction": 1.0, **settings}
+        cfg = IndexConfig(
+            self.path,
+            model="m",
+            version=settings.pop("version", "1"),
+            dimension=4,
+            chunk_size=settings.pop("chunk_size", SIZE),
+            chunk_overlap=settings.pop("chunk_overlap", OVERLAP),
+            **settings,
+        )
+        items = list(corpus.items()) if isinstance(corpus, dict) else corpus
+        df = self.spark.createDataFrame(items, "uri string, rawText string")
+        return run_increment(self.spark, cfg, df, embedder or HashEmbedder(4))
+
+    def rows(self):
+        return sorted((*r[:6], tuple(r[6]), *r[7:]) for r in self.store.retrieval_index().collect())
+
+    def check(self, corpus, **kwargs):
+        assert self.rows() == full_build(corpus, **kwargs)
+        docs = {r.uri: (r.docId, r.text, r.contentHash) for r in self.store.docs().collect()}
+        assert docs == {u: (sha(u), t, sha(t)) for u, t in corpus.items()}
+        assert self.store.last_run().liveDocs == len(corpus)
+        chunks = {(r.chunkId, r.chunkText) for r in self.store.chunks().collect()}
+        assert chunks == {(r[2], r[3]) for r in self.rows()}
+
+
+@pytest.fixture
+def index(spark, tmp_path):
+    return Index(spark, tmp_path / "index")
+
+
+BASE = {
+    "u/a": "alpha beta gamma delta epsilon",
+    "u/b": "short",
+    "u/c": "one two three four five six seven",
+    "u/d": "to be deleted before long",
+}
+
+
+def test_first_run_then_nothing_to_do(spark, index):
+    assert not index.store.exists("docs") and index.store.last_run() is None
+    report = index.run(BASE)
+    assert report.committed and report.run == 1
+    assert (report.total_docs, report.new_docs, report.freshness_pct) == (4, 4, 100.0)
+    index.check(BASE)
+    assert report.chunks_embedded == report.index_rows_written == len(full_build(BASE))
+
+    again = index.run(BASE, NoCalls())
+    assert not again.committed
+    assert (again.total_docs, again.docs_skipped, again.dedup_pct) == (4, 4, 100.0)
+    assert (again.chunks_written, again.chunks_embedded) == (0, 0)
+    assert index.store.last_run().run == 1
+    assert [r.run for r in index.store.runs().orderBy("run").collect()] == [1]
+
+
+def test_stored_schemas(spark, index):
+    index.run(BASE)
+    for frame, schema in (
+        (index.store.docs(), DOCS),
+        (index.store.chunks(), CHUNKS),
+        (index.store.embeddings(), EMBEDDINGS),
+        (index.store.retrieval_index(), RETRIEVAL_INDEX),
+    ):
+        assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_bootstrap_gives_empty_tables_and_leaves_full_ones(spark, index):
+    index.store.bootstrap()
+    assert all(index.store.exists(t) for t in store_module.STORED)
+    assert index.store.docs().count() == index.store.embeddings().count() == 0
+    index.run(BASE)
+    index.store.bootstrap()
+    index.check(BASE)
+
+
+def test_add_edit_shorten_delete(spark, index):
+    index.run(BASE)
+    corpus = {
+        "u/a": "#lpha beta gamma delta epsilon",  # same length and offsets
+        "u/b": "short",
+        "u/c": "one two",  # shorter: fewer windows
+        "u/e": "a new one arrives",
+    }
+    report = index.run(corpus)
+    assert (report.new_docs, report.changed_docs, report.deleted_docs, report.docs_skipped) == (1, 2, 1, 1)
+    index.check(corpus)
+    # Windows of u/a past the edit kept their text, hence their vectors.
+    assert report.chunks_reused == len(list(windows(BASE["u/a"]))) - 1
+    assert report.chunks_embedded == report.chunks_written - report.chunks_reused
+    kept = {r.chunkId for r in index.store.embeddings().collect()}
+    assert kept == {r[2] for r in full_build(corpus)}
+
+
+def test_reuse_by_id_keeps_stale_vectors(spark, index):
+    text = "abcdefghij"
+    index.run({"u": text}, reuse="by_id")
+    report = index.run({"u": "#" + text[1:]}, reuse="by_id")
+    # Two windows: both keep their ids, so both keep their vectors.
+    assert report.chunks_embedded == 0 and report.chunks_reused == 2
+    first = min(index.rows(), key=lambda r: r[4])
+    assert first[3] == "#bcdefghij"
+    assert list(first[6]) == HashEmbedder(4)([text], "m")[0]
+
+
+def test_a_new_version_embeds_everything_and_old_vectors_stay(spark, index):
+    index.run(BASE)
+    corpus = {**BASE, "u/e": "fresh text"}
+    del corpus["u/d"]
+    report = index.run(corpus, version="2")
+    assert report.chunks_embedded == len(full_build(corpus))
+    index.check(corpus, version="2")
+    versions = [r.embedderVersion for r in index.store.embeddings().collect()]
+    assert versions.count("2") == len(full_build(corpus))
+    assert versions.count("1") == len(full_build({u: t for u, t in BASE.items() if u != "u/d"}))
+
+    # Back again: only what version 1 has never seen is embedded.
+    report = index.run(corpus, version="1")
+    assert report.chunks_embedded == len(full_build({"u/e": "fresh text"}))
+    index.check(corpus)
+    assert not index.run(corpus, NoCalls(), version="1").committed
+
+
+def test_failed_chunks_are_retried_until_they_succeed(spark, index):
+    report = index.run(BASE, Refusing("eleted", "short"))
+    assert report.committed and report.chunks_failed == 2
+    missing = {r.textPrefix for r in index.store.pending().collect()}
+    assert missing == {"short", "eleted bef"}
+    assert len(index.rows()) == len(full_build(BASE)) - 2
+
+    still = index.run(BASE, Refusing("eleted", "short"))
+    assert not still.committed and still.chunks_failed == 2
+
+    partly = index.run(BASE, Refusing("eleted"))
+    assert partly.committed and (partly.chunks_embedded, partly.chunks_failed) == (1, 1)
+
+    # A changed and a new document next to the retry.
+    corpus = {**BASE, "u/c": "one two THREE".lower() + " four", "u/z": "zzz"}
+    healed = index.run(corpus)
+    assert healed.chunks_failed == 0
+    index.check(corpus)
+    assert index.store.pending().count() == 0
+    assert not index.run(corpus, NoCalls()).committed
+
+
+def test_a_deleted_document_takes_its_failures_along(spark, index):
+    index.run(BASE, Refusing("short"))
+    corpus = {u: t for u, t in BASE.items() if u != "u/b"}
+    report = index.run(corpus, Refusing("short"))
+    assert report.committed and report.chunks_failed == 0
+    index.check(corpus)
+
+
+def test_an_unreadable_document_keeps_its_last_good_version(spark, index):
+    index.run(BASE)
+    corpus = {**BASE, "u/a": "  \n ", "u/x": ""}
+    report = index.run(corpus, NoCalls())
+    assert not report.committed and report.failed_docs == 2 and report.total_docs == 3
+    index.check(BASE)
+    report = index.run({**corpus, "u/e": "new"})
+    assert report.committed and report.deleted_docs == 0
+    index.check({**BASE, "u/e": "new"})
+
+
+def test_mass_deletion_stops_the_run(spark, index):
+    index.run(BASE)
+    with pytest.raises(MassDeletionError):
+        index.run({"u/a": BASE["u/a"]}, max_delete_fraction=0.5)
+    with pytest.raises(MassDeletionError):
+        index.run({}, max_delete_fraction=0.99)
+    index.check(BASE)
+
+
+def test_everything_may_go_and_come_back(spark, index):
+    index.run(BASE)
+    report = index.run({})
+    assert report.committed and report.deleted_docs == 4
+    index.check({})
+    assert not index.run({}).committed
+    index.run(BASE)
+    index.check(BASE)
+
+
+@pytest.mark.parametrize("table", ["docs", "chunks", "embeddings", "retrieval_index", "runs"])
+def test_an_interrupted_run_changes_nothing_and_the_next_one_heals(spark, index, monkeypatch, table):
+    index.run(BASE)
+    corpus = {"u/a": "another text altogether, longer than before", "u/c": BASE["u/c"], "u/n": "nnn"}
+    write = IndexStore.write
+
+    def stop(self, name, df, run):
+        if name == table:
+            raise KeyboardInterrupt
+        write(self, name, df, run)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(IndexStore, "write", stop)
+        with pytest.raises(KeyboardInterrupt):
+            index.run(corpus)
+    index.check(BASE)
+    # The corpus moved on meanwhile: only u/b goes, and nothing is left of the
+    # interrupted attempt.
+    later = {u: t for u, t in BASE.items() if u != "u/b"}
+    index.run(later)
+    index.check(later)
+
+
+def test_a_new_window_cuts_everything_again(spark, index):
+    index.run(BASE)
+    report = index.run(BASE, chunk_size=8, chunk_overlap=0)
+    assert report.changed_docs == 4
+    index.check(BASE, size=8, overlap=0)
+
+
+def test_a_document_listed_twice_is_refused(spark, index):
+    with pytest.raises(ValueError, match="u/a"):
+        index.run([("u/a", "x"), ("u/a", "y"), ("u/b", "z")])
+    assert index.store.retrieval_index().count() == 0
+    index.run(BASE)
+    with pytest.raises(ValueError, match="listed more than once"):
+        index.run([*BASE.items(), ("u/n", "x"), ("u/n", "y")])
+    index.check(BASE)
+
+
+def test_compaction_changes_nothing_a_reader_sees(spark, index):
+    index.run(BASE, Refusing("short"))
+    corpus = {**BASE, "u/a": "edited"}
+    index.run(corpus, Refusing("short"))
+    before = index.rows()
+    index.store.compact()
+    last = index.store.last_run()
+    assert last.run == last.base == last.indexBase == 3 and last.touchedSinceBase == 0
+    assert index.rows() == before
+    corpus["u/c"] = "edited too"
+    report = index.run(corpus)
+    assert report.chunks_failed == 0
+    index.check(corpus)
+
+
+def test_earlier_runs_can_be_read(spark, index):
+    index.run(BASE)
+    index.run({**BASE, "u/a": "edited"})
+    assert {r.text for r in index.store.docs(as_of=1).collect()} == set(BASE.values())
+
+
+def test_key_sets_beyond_the_broadcast_limit(spark, index):
+    index.run(BASE, broadcast_rows=0)
+    corpus = {**BASE, "u/a": "#lpha beta gamma delta epsilon", "u/e": "new"}
+    del corpus["u/d"]
+    index.run(corpus, broadcast_rows=0)
+    index.check(corpus)
+    index.run(corpus, broadcast_rows=0, version="2")
+    index.check(corpus, version="2")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_histories_equal_a_full_build(spark, index, seed):
+    rng = random.Random(seed)
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    corpus, version = {}, "1"
+    for step in range(5):
+        for _ in range(6):
+            uri = f"u/{rng.randrange(12)}"
+            action = rng.random()
+            if action < 0.25:
+                corpus.pop(uri, None)
+            elif action < 0.5 and uri in corpus:
+                text = corpus[uri]
+                at = rng.randrange(len(text))
+                corpus[uri] = (text[:at] + "#" + text[at + 1 :]).strip() or "#"
+            else:
+                corpus[uri] = " ".join(rng.choices(words, k=rng.randrange(1, 12)))
+        if rng.random() < 0.2:
+            version = str(int(version) + 1)
+        failing = Refusing(rng.choice(words)) if step < 4 else None
+        index.run(corpus, failing, version=version)
+        if rng.random() < 0.3:
+            index.store.compact()
+    index.check(corpus, version=version)
+
+
+def test_a_directory_of_files(spark, tmp_path):
+    folder = tmp_path / "corpus"
+    folder.mkdir()
+    (folder / "a.txt").write_text("Some  TEXT\n")
+    (folder / "b.txt").write_bytes(b"\xff\xff")
+    (folder / "c.dat").write_text("not listed")
+    cfg = IndexConfig(
+        str(tmp_path / "index"), str(folder), glob="*.txt", model="m", version="1", dimension=4, debug=True
+    )
+    report = index_directory(spark, cfg, HashEmbedder(4), utf8_text)
+    assert (report.new_docs, report.failed_docs) == (1, 1)
+    store = IndexStore(spark, cfg.table_path)
+    assert [r.text for r in store.docs().collect()] == ["some text"]
+    (folder / "a.txt").unlink()
+    (folder / "d.txt").write_text("another")
+    report = index_directory(
+        spark,
+        IndexConfig(**{**cfg.__dict__, "max_delete_fraction": 1.0}),
+        HashEmbedder(4),
+        utf8_text,
+    )
+    assert (report.new_docs, report.deleted_docs) == (1, 1)
+    assert [r.chunkText for r in store.retrieval_index().collect()] == ["another"]
+
+
+def test_without_a_pdf_library_the_default_extractor_says_so(spark, tmp_path):
+    try:
+        import pypdf  # noqa: F401
+    except ImportError:
+        with pytest.raises(RuntimeError, match="pypdf"):
+            index_directory(spark, IndexConfig(str(tmp_path / "i"), str(tmp_path)), HashEmbedder(4))
+
+
+def test_extraction_runs_on_selected_documents_only(spark, index):
+    """The second pass reads what changed, not the corpus."""
+    index.run(BASE)
+    seen = spark.sparkContext.accumulator(0)
+
+    def extractor(content):
+        seen.add(1)
+        return content.decode()
+
+    corpus = {**BASE, "u/e": "new"}
+    files = spark.createDataFrame([(u, t.encode()) for u, t in corpus.items()], "uri string, content binary")
+    cfg = IndexConfig(
+        index.path, model="m", version="1", dimension=4, chunk_size=SIZE, chunk_overlap=OVERLAP
+    )
+    run_increment(
+        spark, cfg, files, HashEmbedder(4), extract=lambda df: extract_with(df, extractor)
+    )
+    assert seen.value == len(corpus) + 1
+    index.check(corpus)
