@@ -38,8 +38,8 @@ class IndexConfig:
     dimension: int | None = DEFAULT_DIMENSION
     reuse: str = BY_CONTENT
     embed_batch: int = 64
-    # None keeps the partitions of the chunk table; a number bounds how many
-    # tasks call the embedder at the same time.
+    # How many tasks call the embedder at the same time, at most. None: one per
+    # core for a small change, the partitions of the chunk table for a large one.
     embed_partitions: int | None = None
     # A run that would delete more than this share of the index stops instead.
     max_delete_fraction: float = 0.5

@@ -28,14 +28,14 @@ NEXT_VERSION = "2"
 STUB_DIMENSION = 8
 
 
-def stub_vector(text: Column) -> Column:
-    """``HashEmbedder`` as a column expression."""
-    digest = F.sha2(text, 256)
+def stub_vector(text_hash: Column) -> Column:
+    """``HashEmbedder`` as a column expression over the text's SHA-256."""
 
-    def fraction(i: Column) -> Column:
-        return (F.conv(F.substring(digest, i * 4 + 1, F.lit(4)), 16, 10).cast("int") / 65536.0).cast("float")
+    def fraction(i: int) -> Column:
+        digits = F.substring(text_hash, i * 4 + 1, 4)
+        return (F.conv(digits, 16, 10).cast("int") / 65536.0).cast("float")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(STUB_DIMENSION - 1)), fraction)
+    return F.array(*[fraction(i) for i in range(STUB_DIMENSION)])
 
 
 def stub_embeddings(chunks: DataFrame, version: str = VERSION) -> DataFrame:
@@ -43,7 +43,7 @@ def stub_embeddings(chunks: DataFrame, version: str = VERSION) -> DataFrame:
     rows = chunks.select(
         "chunkId",
         "docId",
-        stub_vector(F.col("chunkText")).alias("embedding"),
+        stub_vector(F.col("chunkContentHash")).alias("embedding"),
         F.lit(MODEL).alias("embedder"),
         F.lit(version).alias("embedderVersion"),
         "chunkContentHash",

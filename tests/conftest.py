@@ -25,6 +25,8 @@ def spark(tmp_path_factory):
         .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        # Small jobs, short-lived code: the quick compiler is enough.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )
