@@ -9,6 +9,17 @@ QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
 
 
+# Row counts of FIXTURES.md for the smallest data.
+COUNTS = {
+    "detect_new_or_changed": 60,
+    "detect_deleted": 20,
+    "chunk_documents": 649,
+    "embed_backlog_by_id": 89,
+    "embed_backlog_by_content": 109,
+    "incremental_index": 649,
+}
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return connect(sf_dir)
@@ -18,6 +29,7 @@ def duck(sf_dir):
 def test_query_matches_sql(spark, sf_dir, duck, name):
     columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
     assert rows, "no rows to compare"
+    assert len(rows) == COUNTS.get(name, len(rows))
     if name in ORACLES:
         expected_columns, expected = duck_rows(duck, ORACLES[name])
         assert columns == expected_columns
