@@ -52,17 +52,16 @@ def merge_upsert(
     ones are joined, the others are read and passed on without a shuffle.
     Otherwise one full outer join does it.
     """
-    if not unique_source:
-        source = require_unique(source, keys)
+    # The rows are checked where they enter the result, their keys need not be.
+    rows = source if unique_source else require_unique(source, keys)
     if update is None and update_when is None and insert is None:
-        return _replace_rows(target, source, keys, source_rows, limit)
-
-    known_small = source_rows is not None and source_rows <= limit
-    if known_small:
+        others = delete_keys(target, source, keys, source_rows, limit)
+        return others.unionByName(rows.select(*target.columns))
+    if source_rows is not None and source_rows <= limit:
         matched = keep_keys(target, source, keys, source_rows, limit)
         others = delete_keys(target, source, keys, source_rows, limit)
-        return others.unionByName(_outer_merge(matched, source, keys, update, update_when, insert))
-    return _outer_merge(target, source, keys, update, update_when, insert)
+        return others.unionByName(_outer_merge(matched, rows, keys, update, update_when, insert))
+    return _outer_merge(target, rows, keys, update, update_when, insert)
 
 
 def _outer_merge(
@@ -99,14 +98,6 @@ def _outer_merge(
     return left.join(right, on, "full_outer").select(*[value(f) for f in target.schema.fields])
 
 
-def _replace_rows(
-    target: DataFrame, source: DataFrame, keys: list[str], source_rows: int | None, limit: int
-) -> DataFrame:
-    """Update-all and insert-all: the target's other rows plus the source."""
-    others = delete_keys(target, source, keys, source_rows, limit)
-    return others.unionByName(source.select(*target.columns))
-
-
 def delete_keys(
     target: DataFrame,
     keys: DataFrame,

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from docindex.operators.changes import classify_changes, deleted, new_or_changed
@@ -70,7 +69,7 @@ def test_empty_sides(spark, size):
 @pytest.mark.parametrize("whole_row", [True, False])
 def test_two_source_rows_for_one_key_are_an_error(spark, size, whole_row):
     options = {} if whole_row else {"update_when": differs()}
-    with pytest.raises(PySparkException, match="more than one source row"):
+    with pytest.raises(Exception, match="more than one source row"):
         merged(spark, [("a", "1")], [("a", "2"), ("a", "3")], size, **options)
 
 
