@@ -43,6 +43,9 @@ class IndexConfig:
     embed_partitions: int | None = None
     # A run that would delete more than this share of the index stops instead.
     max_delete_fraction: float = 0.5
+    # Fold the runs into one after a commit, once the documents touched since the
+    # last fold exceed this share of the index. None: only on request.
+    compact_fraction: float | None = None
     # Key sets with a known count up to this are broadcast, larger ones shuffled.
     broadcast_rows: int = 1_000_000
     debug: bool = False

@@ -168,16 +168,16 @@ SELECT url AS uri, sha256(url) AS docId, sha256({_html_text("html")}) AS content
 FROM pages WHERE NOT contains(html, 'lang="fr"') AND {_html_text("html")} <> ''""",
     "normalize_text": f"SELECT doc_id, {_normalized('text')} AS text FROM documents",
     "normalize_text_arrow": f"SELECT doc_id, {_normalized('text')} AS text FROM documents",
-    "normalize_documents": _with(
+    "normalize_docs": _with(
         "norm",
         "SELECT uri, text, sha256(uri) AS docId, sha256(text) AS contentHash FROM norm",
     ),
     "drop_empty_docs": _with("cur", "SELECT uri, docId FROM cur"),
     "detect_new_or_changed": _with("touched", "SELECT docId, contentHash, uri FROM touched"),
     "detect_deleted": _with("gone", "SELECT docId, uri FROM gone"),
-    "classify_documents": _with("status", "SELECT docId, uri, status FROM status"),
-    "chunk_documents": _with("cur_chunks", "SELECT * FROM cur_chunks"),
-    "chunk_documents_small": _with("cur", _chunks("cur", 50, 20)),
+    "classify_changes": _with("status", "SELECT docId, uri, status FROM status"),
+    "chunk_docs": _with("cur_chunks", "SELECT * FROM cur_chunks"),
+    "chunk_docs_small": _with("cur", _chunks("cur", 50, 20)),
     "cascade_delete_docs": _with(
         "prev gone", "SELECT docId, uri FROM prev WHERE docId NOT IN (SELECT docId FROM gone)"
     ),
@@ -238,7 +238,7 @@ WHERE chunkId NOT IN (SELECT chunkId FROM prev_chunks)""",
     ),
     "embed_backlog_by_content": _with("backlog", "SELECT chunkId, docId FROM backlog"),
     "embed_backlog_version_bump": _with("cur_chunks", "SELECT chunkId, docId FROM cur_chunks"),
-    "embed_documents": _with("cur_vectors", "SELECT * FROM cur_vectors"),
+    "embed_chunks": _with("cur_vectors", "SELECT * FROM cur_vectors"),
     "embed_errors": _with(
         "cur_chunks",
         """
@@ -264,7 +264,7 @@ FROM embeddings""",
 SELECT {_INDEX_COLUMNS}
 FROM cur d JOIN cur_chunks c ON c.docId = d.docId JOIN prev_vectors v ON v.chunkId = c.chunkId""",
     ),
-    "retrieval_index_by_content": _with(
+    "retrieval_index": _with(
         "cur cur_chunks prev_vectors",
         f"""
 SELECT {_INDEX_COLUMNS}
@@ -280,7 +280,7 @@ SELECT 'earlier' AS stored, n_touched AS newOrChanged, n_deleted AS deletedDocs,
 FROM ({_COUNTS})
 UNION ALL SELECT 'equal', 0, 0, 0, false""",
     ),
-    "change_metrics": _with(
+    "run_metrics": _with(
         "status backlog",
         f"""
 SELECT total AS totalDocs, n_new AS newDocs, n_changed AS changedDocs, n_deleted AS deletedDocs,
@@ -290,7 +290,7 @@ SELECT total AS totalDocs, n_new AS newDocs, n_changed AS changedDocs, n_deleted
        (SELECT count(*) FROM backlog) AS chunksEmbedded
 FROM ({_COUNTS})""",
     ),
-    "first_run_docs": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
+    "store_bootstrap": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
     "incremental_index": _REBUILT_INDEX,
     "incremental_embeddings": _with("cur_vectors", "SELECT * FROM cur_vectors"),
     "publish_roundtrip": _REBUILT_INDEX,

@@ -50,22 +50,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 # -- scans, text, documents ------------------------------------------------
 
 
-@query
+@query("binary_scan")
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table files themselves, listed by the binary source, unopened."""
     files = scan_binary(spark, sf_dir, "*.parquet", recursive=True, columns=("path", "length"))
     return files.select(F.substring_index("path", "/", -1).alias("name"), "length")
 
 
-@query
+@query("extract_text")
 def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = Scenario(spark, sf_dir).table("pages")
     return drop_empty(normalize_docs(extract_html(pages, uri="url"))).select("uri", "text")
@@ -80,7 +83,7 @@ class StrictText:
         return utf8_text(content)
 
 
-@query
+@query("extract_with_failures")
 def extract_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes through a user's extractor; what it cannot read is dropped."""
     pages = Scenario(spark, sf_dir).table("pages")
@@ -90,24 +93,24 @@ def extract_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_empty(normalize_docs(raw)).select("uri", "docId", "contentHash")
 
 
-@query
+@query("normalize_text")
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = Scenario(spark, sf_dir).table("documents")
     return documents.select("doc_id", normalize(F.col("text")).alias("text"))
 
 
-@query
+@query("normalize_text_arrow")
 def normalize_text_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = Scenario(spark, sf_dir).table("documents")
     return documents.select("doc_id", normalize(F.col("text"), "arrow").alias("text"))
 
 
-@query
+@query("normalize_docs")
 def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_docs(Scenario(spark, sf_dir).corpus)
 
 
-@query
+@query("drop_empty_docs")
 def drop_empty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document next to a blank and a missing sibling."""
     blank = F.lit(" \t\r\n ")
@@ -123,19 +126,19 @@ def drop_empty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- changes ---------------------------------------------------------------
 
 
-@query
+@query("detect_new_or_changed")
 def detect_new_or_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     return new_or_changed(s.current, s.previous).select("docId", "contentHash", "uri")
 
 
-@query
+@query("detect_deleted")
 def detect_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     return deleted(s.current, s.previous).select("docId", "uri")
 
 
-@query
+@query("classify_changes")
 def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     return classify_changes(s.current, s.previous)
@@ -144,12 +147,12 @@ def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- chunks ----------------------------------------------------------------
 
 
-@query
+@query("chunk_docs")
 def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Scenario(spark, sf_dir).chunks
 
 
-@query
+@query("chunk_docs_small")
 def chunk_documents_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_docs(Scenario(spark, sf_dir).current, size=50, overlap=20)
 
@@ -163,22 +166,22 @@ def _cascade(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return cascade_delete(s.deleted_keys, tables, ["docId"], s.n_deleted)[name]
 
 
-@query
+@query("cascade_delete_docs")
 def cascade_delete_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir, "docs").select("docId", "uri")
 
 
-@query
+@query("cascade_delete_chunks")
 def cascade_delete_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir, "chunks").select("docId", "chunkId")
 
 
-@query
+@query("cascade_delete_embeddings")
 def cascade_delete_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir, "embeddings").select("docId", "chunkId", "embedder", "embedderVersion")
 
 
-@query
+@query("merge_docs")
 def merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update where the hash differs, insert what is new."""
     s = Scenario(spark, sf_dir, staged=True)
@@ -188,7 +191,7 @@ def merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("merge_all_docs")
 def merge_all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the whole corpus: equal hashes are left alone."""
     s = Scenario(spark, sf_dir, staged=True)
@@ -196,7 +199,7 @@ def merge_all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(s.previous, s.current, ["docId"], update_when=differs)
 
 
-@query
+@query("merge_chunks")
 def merge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-all, insert-all: old windows of a shortened document remain."""
     s = Scenario(spark, sf_dir, staged=True)
@@ -204,7 +207,7 @@ def merge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(s.previous_chunks, fresh, ["chunkId"], source_rows=fresh.count())
 
 
-@query
+@query("merge_embeddings")
 def merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Composite key; only the vector and its provenance are updated."""
     s = Scenario(spark, sf_dir, staged=True)
@@ -222,7 +225,7 @@ def merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_codes(merged)
 
 
-@query
+@query("replace_changed_chunks")
 def replace_changed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A changed document's whole chunk set is replaced: no old window remains."""
     s = Scenario(spark, sf_dir, staged=True)
@@ -231,7 +234,7 @@ def replace_changed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("purge_orphan_embeddings")
 def purge_orphan_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored vectors whose chunk still has the text they were made from."""
     s = Scenario(spark, sf_dir)
@@ -253,26 +256,26 @@ def _with_codes(embeddings: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("embed_backlog_by_id")
 def embed_backlog_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of this run's documents without any vector under their id."""
     s = Scenario(spark, sf_dir, staged=True)
     return backlog(s.changed_chunks, s.previous_embeddings, MODEL, VERSION, BY_ID).select("chunkId", "docId")
 
 
-@query
+@query("embed_backlog_by_content")
 def embed_backlog_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     return backlog(s.chunks, s.previous_embeddings, MODEL, VERSION).select("chunkId", "docId")
 
 
-@query
+@query("embed_backlog_version_bump")
 def embed_backlog_version_bump(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir)
     return backlog(s.chunks, s.previous_embeddings, MODEL, NEXT_VERSION).select("chunkId", "docId")
 
 
-@query
+@query("embed_chunks")
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = Scenario(spark, sf_dir).chunks
     attempts = embed_chunks(
@@ -292,7 +295,7 @@ class FlakyEmbedder:
         return [[] if d.startswith("0") else v for d, v in zip(digests, vectors)]
 
 
-@query
+@query("embed_errors")
 def embed_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunks = Scenario(spark, sf_dir).chunks
     attempts = embed_chunks(chunks, FlakyEmbedder(), MODEL, VERSION, dimension=STUB_DIMENSION)
@@ -308,19 +311,19 @@ def _two_versions(s: Scenario) -> DataFrame:
     )
 
 
-@query
+@query("embeddings_current_version")
 def embeddings_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _two_versions(Scenario(spark, sf_dir, staged=True))
     return _with_codes(of_version(table, MODEL, NEXT_VERSION))
 
 
-@query
+@query("embeddings_multi_version")
 def embeddings_multi_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _two_versions(Scenario(spark, sf_dir, staged=True))
     return table.groupBy("chunkId").agg(F.count(F.lit(1)).alias("versions"))
 
 
-@query
+@query("vector_dim_check")
 def vector_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     embedding = F.col("embedding")
     return Scenario(spark, sf_dir).table("embeddings").select(
@@ -359,19 +362,19 @@ def _index_with_codes(rows: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("retrieval_index_by_id")
 def retrieval_index_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Today's documents and chunks with the vectors stored so far, by chunk id."""
     return _index(spark, sf_dir, BY_ID)
 
 
-@query
+@query("retrieval_index")
 def retrieval_index_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, without vectors of an earlier text."""
     return _index(spark, sf_dir, BY_CONTENT)
 
 
-@query
+@query("noop_gate")
 def noop_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Would a run publish: from the earlier state, and from an equal one?"""
     s = Scenario(spark, sf_dir, staged=True)
@@ -393,7 +396,7 @@ def noop_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("run_metrics")
 def change_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Scenario(spark, sf_dir, staged=True)
     missing = backlog(s.chunks, s.previous_embeddings, MODEL, VERSION).agg(F.count(F.lit(1)))
@@ -425,7 +428,7 @@ def _earlier_then_current(spark: SparkSession, sf_dir: str, reruns: int = 0, **s
     return IndexStore(spark, cfg.table_path), reports
 
 
-@query
+@query("store_bootstrap")
 def first_run_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty tables, then a first run: the stored documents."""
     s = Scenario(spark, sf_dir)
@@ -434,7 +437,7 @@ def first_run_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IndexStore(spark, cfg.table_path).docs()
 
 
-@query
+@query("incremental_index")
 def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index after an incremental run over the earlier state: what a full
     build of the current state would give."""
@@ -442,13 +445,13 @@ def incremental_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index_with_codes(store.retrieval_index())
 
 
-@query
+@query("incremental_embeddings")
 def incremental_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = _earlier_then_current(spark, sf_dir)
     return _with_codes(store.embeddings())
 
 
-@query
+@query("publish_roundtrip")
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same index after its runs were folded into one."""
     store, _ = _earlier_then_current(spark, sf_dir)
@@ -456,7 +459,7 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index_with_codes(store.retrieval_index())
 
 
-@query
+@query("run_history")
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The committed runs: a first one, an incremental one, and no third for an
     unchanged corpus."""

@@ -297,6 +297,17 @@ def test_compaction_changes_nothing_a_reader_sees(spark, index):
     index.check(corpus)
 
 
+def test_compaction_when_due(spark, index):
+    index.run(BASE, compact_fraction=0.5)
+    corpus = {**BASE, "u/a": "edited"}
+    index.run(corpus, compact_fraction=0.5)
+    assert index.store.last_run().base == 1
+    corpus = {**corpus, "u/b": "edited", "u/c": "edited"}
+    report = index.run(corpus, compact_fraction=0.5)
+    assert (report.run, index.store.last_run().run, index.store.last_run().base) == (3, 4, 4)
+    index.check(corpus)
+
+
 def test_earlier_runs_can_be_read(spark, index):
     index.run(BASE)
     index.run({**BASE, "u/a": "edited"})

@@ -13,7 +13,7 @@ ORACLES = contract.oracle_sql()
 COUNTS = {
     "detect_new_or_changed": 60,
     "detect_deleted": 20,
-    "chunk_documents": 649,
+    "chunk_docs": 649,
     "embed_backlog_by_id": 89,
     "embed_backlog_by_content": 109,
     "incremental_index": 649,
