@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from docindex.config import BY_CONTENT, BY_ID, IndexConfig
 from docindex.embedders import HashEmbedder
 from docindex.extractors import utf8_text
-from docindex.functions.ids import sha256_hex
 from docindex.functions.text import html_to_text, normalize
 from docindex.operators.changes import classify_changes, deleted, new_or_changed, rebuild_needed
 from docindex.operators.chunks import chunk_docs
