@@ -402,3 +402,13 @@ def test_extraction_runs_on_selected_documents_only(spark, index):
     )
     assert seen.value == len(corpus) + 1
     index.check(corpus)
+
+
+def test_reading_prunes_runs_and_shuffles_nothing(spark, index):
+    index.run(BASE)
+    index.run({**BASE, "u/a": "edited"})
+    live = index.store.retrieval_index().select("chunkId")
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run" in plan
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert "embedding" not in plan.split("ReadSchema", 1)[1].split("\n", 1)[0]
