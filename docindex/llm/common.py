@@ -87,16 +87,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (a >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + b
+    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def sequence_hashes(word_hashes: np.ndarray, n: int) -> np.ndarray:
-    """A hash of every run of ``n`` consecutive words."""
+    """A hash of every run of ``n`` consecutive words, by doubling."""
     length = len(word_hashes) - n + 1
     if length <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(length, np.uint64)
-    for i in range(n):
-        out = (out ^ word_hashes[i : i + length]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(29)
-    return mix(out)
+    out, done, power, size = None, 0, word_hashes, 1
+    while True:
+        if n & size:
+            piece = power[done : done + length]
+            out = piece if out is None else _joined(out, piece)
+            done += size
+        if done == n:
+            return mix(out)
+        power = _joined(power[:-size], power[size:])
+        size *= 2
+
+
+def sliding_min(values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of every ``n`` consecutive values, by doubling."""
+    length, size = len(values) - n + 1, 1
+    if length <= 0:
+        return values[:0]
+    while size * 2 <= n:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[:length], values[n - size : n - size + length])
 
 
 def utf8(column: pa.Array) -> Iterator[bytes | None]:

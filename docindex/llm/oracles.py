@@ -30,3 +30,23 @@ links AS (
 SELECT doc_id, CAST(len(set) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM s JOIN c USING (doc_id)
 """
+
+ORACLES["op6_substrings"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format(text="text")} AS words FROM documents),
+w AS (
+  SELECT doc_id, start, array_to_string(words[start:start + 19], ' ') AS passage
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM d)
+), later AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY passage ORDER BY doc_id, start) AS n FROM w)
+  WHERE n > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS pos FROM later),
+words AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

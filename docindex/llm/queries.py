@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
+from docindex.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,3 +33,11 @@ def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = remove_repeats(table(spark, sf_dir, "documents"), size=20)
+    return left.select(
+        F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
