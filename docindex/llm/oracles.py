@@ -50,3 +50,43 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op1_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, {_WORDS.format(text="text")} AS words
+  FROM documents
+), w AS (
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 7], ' ') AS passage
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS pos FROM d)
+), many AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, passage) AS n FROM w) WHERE n > 1
+), r AS (
+  SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 8)) AS word FROM many) GROUP BY doc_id
+), l AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+), m AS (
+  SELECT doc_id, host, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)
+), f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR n_symbols > 0.5 * n_words OR n_dup_lines > 0.02 * n_words
+    OR (n_words > 0 AND (word_chars / n_words < 2 OR word_chars / n_words > 25)) AS any_failed
+  FROM m
+), h AS (
+  SELECT host, count(*) AS docs, count(*) FILTER (any_failed) AS failed FROM f GROUP BY host
+), p AS (
+  SELECT coalesce(avg(failed / docs), 0.5) AS mean, var_pop(failed / docs) AS spread FROM h WHERE docs >= 5
+), s AS (
+  SELECT mean, CASE WHEN spread > 0 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 1000) ELSE 1000 END AS strength
+  FROM p
+), v AS (
+  SELECT host, (failed + mean * strength) / (docs + strength) >= 0.5 AS refused FROM h, s
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (refused AND any_failed) AS kept
+FROM f JOIN v USING (host)
+"""

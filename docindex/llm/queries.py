@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
+from docindex.llm.rules import quality_rules
 from docindex.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +42,18 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select(
         F.col("doc").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
