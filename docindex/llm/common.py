@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import sys
+import types
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -124,3 +126,11 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
     """The texts of an Arrow column as UTF-8 bytes."""
     for value in column.cast(pa.binary()):
         yield value.as_py()
+
+
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps for its next tasks."""
+    kept = sys.modules.setdefault("_docindex_llm_kept", types.ModuleType("_docindex_llm_kept"))
+    if name not in kept.__dict__:
+        kept.__dict__[name] = make()
+    return kept.__dict__[name]

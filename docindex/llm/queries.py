@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
+from docindex.llm.packing import pack
 from docindex.llm.rules import quality_rules
 from docindex.llm.substrings import remove_repeats
 
@@ -57,3 +58,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        F.col("doc").alias("doc_id"),
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
