@@ -67,13 +67,14 @@ class Vocabulary(defaultdict):
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-    def hashes(self, numbers: np.ndarray) -> np.ndarray:
+    def hashes(self) -> np.ndarray:
+        """The hash of each number so far. Walks all words: once per batch."""
         known = len(self._hashes)
         if known < len(self):
             new = map(xxhash.xxh64_intdigest, itertools.islice(self, known, None))
             fresh = np.fromiter(new, np.uint64, len(self) - known)
             self._hashes = np.concatenate([self._hashes, fresh])
-        return self._hashes[numbers]
+        return self._hashes
 
     def trim(self) -> None:
         """Call between batches: bounds the memory."""

@@ -23,6 +23,7 @@ signatures): those meet in a band join, and nothing else is left out.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -64,15 +65,12 @@ def least_matches(similarity: float) -> int:
     return k
 
 
-def shingle_set(words: list[bytes], size: int, vocabulary: Vocabulary) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; fewer words than ``size``
-    make one shingle of them all."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < size:
-        short = xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))
-        return np.array([short], np.uint64)
-    return np.unique(sequence_hashes(vocabulary.hashes(vocabulary.numbers(words)), size))
+def shingle_sets(numbers: list[np.ndarray], size: int, hashes: np.ndarray) -> Iterator[np.ndarray]:
+    """Per word sequence the sorted hashes of its distinct shingles; fewer words
+    than ``size`` make one shingle of them all."""
+    for words in numbers:
+        n = min(size, len(words))
+        yield np.unique(sequence_hashes(hashes[words], n) + np.uint64(n)) if n else np.zeros(0, np.uint64)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -92,13 +90,14 @@ class Signer:
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
         for batch in batches:
-            nodes, counts, signatures = [], [], []
+            nodes, numbers, counts, signatures = [], [], [], []
             for text in utf8(batch.column("text")):
                 words = text.lower().split() if text else []
-                shingles = shingle_set(words, self.size, vocabulary)
-                counts.append(len(shingles))
                 nodes.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-                signatures.append(signature(shingles) if words else None)
+                numbers.append(vocabulary.numbers(words))
+            for shingles in shingle_sets(numbers, self.size, vocabulary.hashes()):
+                counts.append(len(shingles))
+                signatures.append(signature(shingles) if len(shingles) else None)
             vocabulary.trim()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -121,10 +120,8 @@ class ShingleSets:
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
         for batch in batches:
-            sets = [
-                shingle_set(text.lower().split(), self.size, vocabulary).view(np.int64)
-                for text in utf8(batch.column("text"))
-            ]
+            numbers = [vocabulary.numbers(text.lower().split()) for text in utf8(batch.column("text"))]
+            sets = [s.view(np.int64) for s in shingle_sets(numbers, self.size, vocabulary.hashes())]
             vocabulary.trim()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]

@@ -70,7 +70,7 @@ class _Windows:
             lengths.append(len(words))
             self.words += words
         self.numbers = vocabulary.numbers(self.words)
-        hashes = vocabulary.hashes(self.numbers)
+        hashes = vocabulary.hashes()[self.numbers]
         self.row = np.repeat(np.arange(len(lengths)), lengths)  # of each word
         self.first = np.cumsum(lengths) - lengths  # word of each row
         counts = np.maximum(np.array(lengths, np.int64) - size + 1, 0)
@@ -235,7 +235,7 @@ class Count:
         offset = np.arange(len(run)) - (np.cumsum(counts) - counts)[run]
         words_before = np.cumsum(runs["words"], dtype=np.int64) - runs["words"]
         at = words_before[run] + offset
-        hashes = sequence_hashes(vocabulary.hashes(numbers), self.size)[at]
+        hashes = sequence_hashes(vocabulary.hashes()[numbers], self.size)[at]
 
         order = np.argsort(hashes, kind="stable")
         equal = np.diff(hashes[order]) == 0
