@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
 from docindex.llm.packing import pack
+from docindex.llm.pii import BASE_KINDS, find_personal_data, joined, number_of
 from docindex.llm.rules import quality_rules
 from docindex.llm.substrings import remove_repeats
 
@@ -72,3 +73,14 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        *[number_of(F.col("base"), kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
