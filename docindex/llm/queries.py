@@ -15,6 +15,7 @@ from docindex.llm.near_dups import near_duplicates
 from docindex.llm.packing import pack
 from docindex.llm.pii import BASE_KINDS, find_personal_data, joined, number_of
 from docindex.llm.rules import quality_rules
+from docindex.llm.sharding import shard_by_bytes
 from docindex.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +85,17 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_bytes(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        F.col("doc").alias("doc_id"),
+        "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
