@@ -14,6 +14,7 @@ from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
 from docindex.llm.packing import pack
 from docindex.llm.pii import BASE_KINDS, find_personal_data, joined, number_of
+from docindex.llm.quality import quality_scores
 from docindex.llm.rules import quality_rules
 from docindex.llm.sharding import shard_by_bytes
 from docindex.llm.substrings import remove_repeats
@@ -99,3 +100,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_scores(documents, labels.filter(~held_out))
+    return scored.select(
+        F.col("doc").alias("doc_id"),
+        F.coalesce(F.crc32(F.col("doc").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
