@@ -12,12 +12,13 @@
    signatures of pairs met there, and the pair is dropped below ``matches``.
 5. What remains is confirmed on the full shingle sets.
 
-No list is expanded into all its pairs. In a list every node meets one leader
-(the smallest node, the same in all lists of a family), twice with new leaders for
-what stayed apart. Afterwards only nodes of *different* components can still be
-missing a link, and only if their distances to the list's leader differ by no
-more than a link allows (the triangle inequality of the Hamming distance of
-signatures): those meet in a band join, and nothing else is left out.
+No list is expanded into all its pairs. In a list every node meets one leader, the
+node whose postings are shared most (in a family of edited copies: their source,
+in all its lists). Afterwards only nodes of *different* components can still be
+missing a link. The nodes of a leader's lists then meet in blocks of ``BLOCK``:
+those outside the leader's component against all others, by one matrix product of
+their full sets per pair of blocks, which returns one link per node and component.
+Families that are linked to their leader, however large, need no such blocks.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ from docindex.llm.components import components
 
 COORDINATES = 64
 MISS = 1e-6
-LEADER_ROUNDS = 2
+BLOCK = 256  # nodes of a family compared at a time, on average
 
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)[:, None]
@@ -128,6 +129,39 @@ class ShingleSets:
             )
 
 
+class Blocks:
+    """Two blocks of shingle sets to the links between their components, one per
+    asking node and component."""
+
+    def __init__(self, num: int, den: int) -> None:
+        self.num, self.den = num, den
+
+    def __call__(self, block: pa.Table) -> pa.Table:
+        asks = block.column("asks").to_numpy()
+        nodes = np.array(block.column("node").to_pylist() + [None], object)[:-1]
+        roots = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)[1]
+        sets = block.column("shingles").combine_chunks()
+        lengths = np.diff(sets.offsets.to_numpy())
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        _, column = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        x, y = np.flatnonzero(~asks), np.flatnonzero(asks)
+        common = np.zeros((len(y), len(x)), np.float32)
+        width = 1 << 14  # shingles at a time
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            part = slice(*np.searchsorted(column, [lo, lo + width]))
+            table = np.zeros((len(lengths), width), np.float32)
+            table[row[part], column[part] - lo] = 1.0
+            common += table[y] @ table[x].T
+        union = lengths[y][:, None] + lengths[x][None, :] - common
+        linked = (common * self.den >= union * self.num) & (roots[y][:, None] != roots[x][None, :])
+        i, j = np.nonzero(linked)
+        _, first = np.unique(np.stack([i, roots[x[j]]]), axis=1, return_index=True)
+        found = [pa.array(nodes[at].tolist(), pa.binary()) for at in (y[i[first]], x[j[first]])]
+        return pa.table(found, ["a", "b"])
+
+
 def _agreeing(x: Column, y: Column) -> Column:
     """In how many coordinates two signatures agree."""
     same = F.zip_with(x, y, lambda p, q: (p == q).cast("int"))
@@ -152,8 +186,9 @@ def postings(nodes: DataFrame, matches: int) -> DataFrame:
     )
     # Tokens of one node come first in the order, and are not in ``tokens``.
     prefix = F.slice("tokens", 1, F.size("tokens") - (matches - 1))
+    shares = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda n, t: n + t["df"])
     kept = ordered.filter(F.size("tokens") >= matches)
-    return kept.select("node", F.explode(prefix).alias("t")).select("t.token", "node")
+    return kept.select("node", (-shares).alias("rank"), F.explode(prefix).alias("t")).select("t.token", "node", "rank")
 
 
 class Join:
@@ -182,62 +217,40 @@ class Join:
         linked = linked.filter(F.col("common") * self.den >= union * self.num)
         self.links.append(staged(linked.select("a", "b"), "near-pairs"))
 
+    def across(self, family: DataFrame) -> None:
+        """Links between components among ``family(leader, node, root, outside)``:
+        ``outside`` nodes against all of their leader's."""
+        sizes = family.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("outside").alias("open"))
+        rows = family.join(sizes.filter("open"), "leader")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        others = F.sequence(F.lit(0), F.col("blocks") - 1)
+        x = rows.select("leader", "node", "root", F.lit(False).alias("asks"), own.alias("i"), F.explode(others).alias("j"))
+        y = rows.filter("outside").select("leader", "node", "root", F.lit(True).alias("asks"), F.explode(others).alias("i"), own.alias("j"))
+        blocks = x.unionByName(y).join(self.sets, "node")
+        compare = Blocks(self.num, self.den)
+
+        def compare_block(block: pa.Table) -> pa.Table:
+            return compare(block)
+
+        found = blocks.groupBy("leader", "i", "j").applyInArrow(compare_block, "a binary, b binary")
+        self.links.append(staged(found, "near-pairs"))
+
     def roots(self) -> DataFrame:
         return staged(components(reduce(DataFrame.unionByName, self.links)), "roots")
 
 
-def link_components(nodes: DataFrame, posted: DataFrame, join: Join) -> DataFrame:
+def link_components(posted: DataFrame, join: Join) -> DataFrame:
     """``(node, root)`` of every node that has a link."""
-    first = None
-    open_ = posted
-    for _ in range(LEADER_ROUNDS):
-        leaders = open_.groupBy("token").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-        met = open_.join(leaders.filter("n > 1"), "token")
-        met = staged(met.select("token", "node", "leader"), "met")
-        pairs = met.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        compared = staged(join.compared(pairs), "compared")
-        join.confirm(compared)
-        roots = join.roots()
-        if first is None:
-            far = compared.select(
-                F.col("a").alias("leader"), F.col("b").alias("node"), (COORDINATES - F.col("agreeing")).alias("d")
-            )
-            first = met.join(far, ["leader", "node"], "left").select(
-                "token", "leader", "node", F.coalesce("d", F.lit(0)).alias("d")
-            )
-            first = staged(first, "distances")
-        of_node = met.join(roots, "node", "left").select("token", "leader", "node", F.coalesce("root", "node").alias("root"))
-        of_leader = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-        apart = of_node.join(of_leader, "leader", "left").filter(
-            F.col("root") != F.coalesce("leader_root", "leader")
-        )
-        open_ = staged(apart.select("token", "node"), "open")
-        if len(join.links) == 1 and open_.isEmpty():
-            return roots
-
-    # Pairs across components, at least one outside the first leader's.
-    root_of = roots.select("node", "root")
-    across = first.join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = root_of.toDF("leader", "head_root")
-    across = across.join(heads, "leader", "left").withColumn("head_root", F.coalesce("head_root", "leader"))
-    reach = COORDINATES - join.matches
-    band = F.floor(F.col("d") / (reach + 1)).cast("int")
-    x = across.select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("d").alias("da"), band.alias("band"))
-    y = across.filter("root != head_root").select(
-        F.col("token").alias("list"),
-        F.col("node").alias("b"),
-        F.col("root").alias("rb"),
-        F.col("d").alias("db"),
-        F.explode(F.array(band - 1, band, band + 1)).alias("near"),
-    )
-    meet = (
-        (F.col("token") == F.col("list"))
-        & (F.col("band") == F.col("near"))
-        & (F.abs(F.col("da") - F.col("db")) <= reach)
-        & (F.col("ra") != F.col("rb"))
-    )
-    pairs = x.join(y, meet).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    join.confirm(staged(join.compared(pairs), "compared"))
+    leaders = posted.groupBy("token").agg(F.min(F.struct("rank", "node")).alias("first"))
+    met = posted.join(leaders.select("token", F.col("first.node").alias("leader")), "token")
+    met = staged(met.select("leader", "node").distinct(), "met")
+    pairs = met.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    join.confirm(join.compared(pairs))
+    roots = join.roots()
+    family = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = roots.select(F.col("node").alias("leader"), F.col("root").alias("head"))
+    family = family.join(heads, "leader", "left").withColumn("outside", F.col("root") != F.coalesce("head", "leader"))
+    join.across(staged(family.drop("head"), "families"))
     return join.roots()
 
 
@@ -284,7 +297,7 @@ def near_duplicates(
     if sets.count() > n_wanted:  # an id and a text that repeat
         sets = sets.dropDuplicates(["node"])
 
-    roots = link_components(nodes, posted, Join(nodes, sets, matches, num, den))
+    roots = link_components(posted, Join(nodes, sets, matches, num, den))
     placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
     smallest = placed.filter("root is not null").groupBy("component").agg(F.min("first_doc").alias("low"))
     smallest = placed.join(smallest, "component", "left").select(
