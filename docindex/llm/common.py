@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,3 +136,16 @@ def per_process(name: str, make: Callable[[], object]) -> object:
     if name not in kept.__dict__:
         kept.__dict__[name] = make()
     return kept.__dict__[name]
+
+
+def slices(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts have about ``limit`` bytes, or one row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    at, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if held and held + n > limit:
+            yield batch.slice(at, i - at)
+            at, held = i, 0
+        held += n
+    if at < batch.num_rows:
+        yield batch.slice(at)

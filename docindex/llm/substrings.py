@@ -31,6 +31,7 @@ from docindex.llm.common import (
     Vocabulary,
     mix,
     sequence_hashes,
+    slices,
     sliding_min,
     staged,
     text_key,
@@ -38,7 +39,7 @@ from docindex.llm.common import (
 )
 
 ANCHOR = 4
-BUCKET_WORDS = 1_500_000
+BUCKET_WORDS = 1_000_000
 # A minimiser is hot above HOT super-k-mers and above one HOT_SHARE-th of all.
 HOT = 20_000
 HOT_SHARE = 50_000
@@ -100,7 +101,7 @@ class AnchorCounts:
 
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             w = _Windows(batch, self.size, vocabulary)
             vocabulary.trim()
             if not len(w.at):
@@ -138,7 +139,7 @@ class Ship:
 
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             w = _Windows(batch, self.size, vocabulary)
             if len(w.at):
                 yield self._shipped(w)
@@ -270,7 +271,7 @@ class Cut:
     """Texts and the word ranges to remove from them to what is left."""
 
     def __call__(self, batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             totals, removed, kept, cut = [], [], [], []
             for text, ranges in zip(utf8(batch.column("text")), batch.column("ranges").to_pylist()):
                 words = text.split() if text else []
