@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docindex.llm.common import Batches, bounded, per_process, staged, utf8
+from docindex.llm.common import Batches, bounded, per_process, slices, staged, utf8
 
 VOCABULARY_FILE = "word_bpe_49k.json"
 END_ID = 1
 CAPACITY = 2048
 
 # Pieces of text whose ids a Python worker remembers at a time.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 # Between a letter or digit and one of these the tokenizer always cuts; with a
 # space there, fewer different pieces remain.
 _CUT = re.compile(r"(?<=[^\W_])(?=[.,;:!?#*$%&|])")
@@ -96,7 +96,7 @@ class Tokenise:
         part = TaskContext.get().partitionId()
         pieces = per_process(f"piece ids {self.path}", lambda: PieceIds(self.path))
         at = 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids = [x + self.end for x in pieces.encode(list(utf8(batch.column("text"))))]
             lengths = np.array([len(x) // 4 for x in ids], np.int64)
             ends = at + np.cumsum(lengths)
