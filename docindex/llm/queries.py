@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docindex.llm.common import table
 from docindex.llm.near_dups import near_duplicates
+from docindex.llm.neighbours import nearest
 from docindex.llm.packing import pack
 from docindex.llm.pii import BASE_KINDS, find_personal_data, joined, number_of
 from docindex.llm.quality import quality_scores
@@ -113,3 +114,8 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
