@@ -17,8 +17,10 @@ from docindex.llm.packing import pack
 from docindex.llm.pii import BASE_KINDS, find_personal_data, joined, number_of
 from docindex.llm.quality import quality_scores
 from docindex.llm.rules import quality_rules
+from docindex.llm.sampling import sample_pieces
 from docindex.llm.sharding import shard_by_bytes
 from docindex.llm.substrings import remove_repeats
+from docindex.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,3 +121,20 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = sample_pieces(table(spark, sf_dir, "documents"))
+    return sampled.select(
+        F.col("doc").alias("doc_id"),
+        F.size("ids").cast("bigint").alias("n_ids"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts(table(spark, sf_dir, "documents"))
+    return counted.select(F.col("doc").alias("doc_id"), "pre_tokens", "tokens")
