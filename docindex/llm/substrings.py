@@ -38,7 +38,7 @@ from docindex.llm.common import (
     utf8,
 )
 
-ANCHOR = 4
+ANCHOR = 3
 BUCKET_WORDS = 1_000_000
 # A minimiser is hot above HOT super-k-mers and above one HOT_SHARE-th of all.
 HOT = 20_000
@@ -120,7 +120,7 @@ class AnchorCounts:
 
 def _pack(runs: np.ndarray, texts: list[bytes]) -> bytes:
     head = np.int64(len(runs)).tobytes()
-    return zstandard.compress(head + runs.tobytes() + b"\n".join(texts), 1)
+    return zstandard.compress(head + runs.tobytes() + b"\n".join(texts), 3)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
