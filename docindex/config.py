@@ -10,7 +10,6 @@ DEFAULT_CHUNK_OVERLAP = 100
 DEFAULT_MODEL = "mxbai-embed-large"
 DEFAULT_VERSION = "1.3.0"
 DEFAULT_HOST = "http://localhost:11434"
-DEFAULT_DIMENSION = 1024
 DEFAULT_GLOB = "*.pdf"
 
 BY_CONTENT = "by_content"
@@ -35,14 +34,17 @@ class IndexConfig:
     model: str = DEFAULT_MODEL
     version: str = DEFAULT_VERSION
     host: str = DEFAULT_HOST
-    dimension: int | None = DEFAULT_DIMENSION
+    # Vectors of another length are rejected. None: any length is taken.
+    dimension: int | None = None
     reuse: str = BY_CONTENT
     embed_batch: int = 64
-    # How many tasks call the embedder at the same time, at most. None: one per
-    # core for a small change, the partitions of the chunk table for a large one.
+    # How many tasks the chunks to embed are spread over. None: one per core, and
+    # more where a task would get over ``embed_task_chunks``.
     embed_partitions: int | None = None
+    embed_task_chunks: int = 10_000
     # A run that would delete more than this share of the index stops instead.
-    max_delete_fraction: float = 0.5
+    # None: no such limit.
+    max_delete_fraction: float | None = None
     # Fold the runs into one after a commit, once the documents touched since the
     # last fold exceed this share of the index. None: only on request.
     compact_fraction: float | None = None
@@ -54,7 +56,7 @@ class IndexConfig:
         check_window(self.chunk_size, self.chunk_overlap)
         if self.reuse not in (BY_CONTENT, BY_ID):
             raise ValueError(f"reuse must be {BY_CONTENT!r} or {BY_ID!r}, got {self.reuse!r}")
-        if not 0.0 <= self.max_delete_fraction <= 1.0:
+        if self.max_delete_fraction is not None and not 0.0 <= self.max_delete_fraction <= 1.0:
             raise ValueError("max_delete_fraction must lie between 0 and 1")
         if self.embed_batch < 1:
             raise ValueError("embed_batch must be positive")

@@ -2,27 +2,8 @@
 
 from __future__ import annotations
 
-import io
-
 
 def utf8_text(content: bytes) -> str:
     """Plain text; bytes that are not UTF-8 are an error, hence empty text."""
     return content.decode("utf-8")
 
-
-def pdf_text(content: bytes) -> str:
-    """Text of a PDF, where the executors have ``pypdf`` installed."""
-    import pypdf
-
-    return "\n".join(page.extract_text() for page in pypdf.PdfReader(io.BytesIO(content)).pages)
-
-
-def require_pdf() -> None:
-    """Fail early where no PDF library is installed, instead of reading every
-    file as unreadable."""
-    try:
-        import pypdf  # noqa: F401
-    except ImportError as exc:
-        raise RuntimeError(
-            "no PDF library: install pypdf or pass an extractor of your own"
-        ) from exc

@@ -34,22 +34,27 @@ def classify_changes(current: DataFrame, stored: DataFrame) -> DataFrame:
     """``(docId, uri, status)`` for every document on either side, in one join.
 
     ``current`` has ``docId, uri, contentHash`` and may have ``readable`` (false
-    where extraction gave no text); ``stored`` has ``docId, uri, contentHash``.
+    where extraction failed) and ``empty`` (true where there is no text to index:
+    a stored version goes); ``stored`` has ``docId, uri, contentHash``.
     """
     readable = F.col("readable") if "readable" in current.columns else F.lit(True)
+    empty = F.col("empty") if "empty" in current.columns else F.lit(False)
     now = current.select(
         "docId",
+        F.lit(True).alias("_now"),
+        empty.alias("_empty"),
         F.col("uri").alias("_now_uri"),
         F.col("contentHash").alias("_now_hash"),
         readable.alias("_readable"),
     )
     before = stored.select(
-        "docId", F.col("uri").alias("_old_uri"), F.col("contentHash").alias("_old_hash")
+        "docId", F.lit(True).alias("_old"), F.col("uri").alias("_old_uri"), F.col("contentHash").alias("_old_hash")
     )
     status = (
-        F.when(F.col("_now_uri").isNull(), DELETED)
-        .when(~F.col("_readable"), F.when(F.col("_old_uri").isNull(), FAILED).otherwise(KEPT))
-        .when(F.col("_old_uri").isNull(), NEW)
+        F.when(F.col("_now").isNull(), DELETED)
+        .when(~F.col("_readable"), F.when(F.col("_old").isNull(), FAILED).otherwise(KEPT))
+        .when(F.col("_empty"), F.when(F.col("_old").isNull(), FAILED).otherwise(DELETED))
+        .when(F.col("_old").isNull(), NEW)
         .when(F.col("_now_hash") == F.col("_old_hash"), UNCHANGED)
         .otherwise(CHANGED)
     )

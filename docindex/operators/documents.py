@@ -31,7 +31,7 @@ def extract_with(
     """``(uri, rawText)`` through a user's ``bytes -> text`` function.
 
     The function never fails a job: any exception, and any result that is not a
-    string, becomes empty text. Batches are bounded in bytes by Spark's
+    string, becomes NULL, unlike the empty text of an empty document. Batches are bounded in bytes by Spark's
     ``spark.sql.execution.arrow.maxBytesPerBatch``.
     """
 
@@ -42,8 +42,8 @@ def extract_with(
                 try:
                     text = extractor(value.as_py())
                 except Exception:
-                    text = ""
-                texts.append(text if isinstance(text, str) else "")
+                    text = None
+                texts.append(text if isinstance(text, str) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string())], names=["uri", "rawText"]
             )

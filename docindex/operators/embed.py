@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -81,7 +82,10 @@ def embed_chunks(
         if dimension is not None and len(vector) != dimension:
             return None, f"dimension {len(vector)}, expected {dimension}"
         try:
-            return [float(x) for x in vector], None
+            numbers = [float(x) for x in vector]
+            if not all(map(math.isfinite, numbers)):
+                return None, "vector with a component that is not finite"
+            return numbers, None
         except (TypeError, ValueError) as exc:
             return None, f"{type(exc).__name__}: {exc}"
 
@@ -125,5 +129,6 @@ def errors_of(attempts: DataFrame) -> DataFrame:
 
 
 def is_valid_vector(embedding: Column, dimension: int) -> Column:
-    """Present and of the expected length."""
-    return F.coalesce(F.size(embedding) == dimension, F.lit(False))
+    """Present, of the expected length, and finite throughout."""
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce((F.size(embedding) == dimension) & finite, F.lit(False))

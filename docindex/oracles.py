@@ -290,6 +290,7 @@ SELECT total AS totalDocs, n_new AS newDocs, n_changed AS changedDocs, n_deleted
        (SELECT count(*) FROM backlog) AS chunksEmbedded
 FROM ({_COUNTS})""",
     ),
+    "binary_scan": "SELECT url, sha256(html) AS html_sha256 FROM pages",
     "store_bootstrap": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
     "incremental_index": _REBUILT_INDEX,
     "incremental_embeddings": _with("cur_vectors", "SELECT * FROM cur_vectors"),

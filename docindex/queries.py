@@ -62,9 +62,17 @@ def query(name: str) -> Callable[[Query], Query]:
 
 @query("binary_scan")
 def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table files themselves, listed by the binary source, unopened."""
-    files = scan_binary(spark, sf_dir, "*.parquet", recursive=True, columns=("path", "length"))
-    return files.select(F.substring_index("path", "/", -1).alias("name"), "length")
+    """Pages written to files of two suffixes; those of one suffix read as bytes."""
+    pages = Scenario(spark, sf_dir).table("pages").select("url", "html")
+    folder = scratch_path(spark, "pages")
+    # A file is one row of the scan: keep each small.
+    pages.write.option("maxRecordsPerFile", 500).json(f"{folder}/json")
+    pages.select("url").write.text(f"{folder}/txt")
+    files = scan_binary(spark, folder, "*.json", recursive=True)
+    lines = F.split(F.decode("content", "UTF-8"), "\n")
+    rows = files.select(F.explode(F.filter(lines, lambda x: x != "")).alias("line"))
+    page = F.from_json("line", "url string, html string")
+    return rows.select(page.alias("p")).select("p.url", F.sha2("p.html", 256).alias("html_sha256"))
 
 
 @query("extract_text")

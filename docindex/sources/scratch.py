@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,10 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the session names in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; on a cluster
-    that would be visible to one machine only, so there it is an error.
+    A session without the setting uses its warehouse, which all executors share
+    too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="docindex-")
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/docindex-{name}-{uuid.uuid4().hex}"

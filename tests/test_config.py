@@ -9,7 +9,7 @@ def test_defaults():
     assert (cfg.model, cfg.version) == ("mxbai-embed-large", "1.3.0")
     assert cfg.host == "http://localhost:11434"
     assert cfg.glob == "*.pdf"
-    assert cfg.dimension == 1024
+    assert cfg.dimension is None and cfg.max_delete_fraction is None
 
 
 @pytest.mark.parametrize("size, overlap", [(100, 100), (100, 101), (100, -1), (0, 0)])

@@ -125,17 +125,22 @@ def test_retrieval_index(spark, address_bytes):
 
 
 def test_vector_check(spark):
-    df = spark.createDataFrame([([1.0, 2.0],), ([],), (None,), ([1.0],)], "v array<double>")
-    assert [r[0] for r in df.coalesce(1).select(is_valid_vector(F.col("v"), 2)).collect()] == [True, False, False, False]
+    bad = [[], None, [1.0], [1.0, float("nan")], [float("inf"), 1.0], [None, 1.0]]
+    df = spark.createDataFrame([([1.0, 2.0],), *((v,) for v in bad)], "v array<double>")
+    assert [r[0] for r in df.coalesce(1).select(is_valid_vector(F.col("v"), 2)).collect()] == [True] + [False] * 6
+
+
+def test_a_vector_that_is_not_finite_is_a_failure(spark):
+    vectors = {"a": [1.0, float("nan")], "b": [1.0, 2.0]}
+    got = run(spark, ["a", "b"], lambda texts, model: [vectors[t] for t in texts])
+    assert [r.error for r in errors_of(got).collect()] == ["vector with a component that is not finite"]
+    assert vectors_of(got).count() == 1
 
 
 def test_request_and_response():
-    assert json.loads(encode_request("hello", "mxbai-embed-large")) == {
-        "model": "mxbai-embed-large",
-        "prompt": "hello",
-    }
-    assert decode_response(b'{"embedding":[0.1,0.2,0.3]}') == [0.1, 0.2, 0.3]
-    for malformed in (b'{"unexpected_field":"x"}', b"[1]", b"not json", b'{"embedding":1}'):
+    assert json.loads(encode_request("five words", "some-model")) == {"model": "some-model", "prompt": "five words"}
+    assert decode_response(b'{"embedding":[-4, 2.5]}') == [-4.0, 2.5]
+    for malformed in (b'{"vector":[7]}', b"[1]", b"<html>", b'{"embedding":1}'):
         with pytest.raises(ValueError):
             decode_response(malformed)
 
@@ -153,8 +158,7 @@ def test_http_embedder(monkeypatch):
     embedder = HttpEmbedder("http://host:1/")
     assert embedder(["a", "b"], "m") == [[1.0, 2.0], [1.0, 2.0]]
     assert seen == [("http://host:1/api/embeddings", t, 30.0) for t in "ab"]
-    with pytest.raises(urllib.error.URLError):
-        embedder(["bad"], "m")
+    assert embedder(["good", "bad", "fine"], "m") == [[1.0, 2.0], None, [1.0, 2.0]]
 
 
 def test_hash_embedder_dimension():

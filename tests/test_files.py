@@ -34,14 +34,14 @@ def test_content_is_not_read_unless_asked_for(spark, corpus):
     assert "ReadSchema: struct<path:string,length:bigint>" in plan.executedPlan().toString()
 
 
-def test_an_unreadable_file_becomes_empty_text(spark, corpus):
+def test_an_unreadable_file_has_no_text(spark, corpus):
     raw = extract_with(scan_binary(spark, corpus), utf8_text, uri="path")
-    assert sorted((r.uri[-5:], r.rawText) for r in raw.collect()) == [("a.pdf", "one"), ("b.pdf", "")]
+    assert sorted((r.uri[-5:], r.rawText) for r in raw.collect()) == [("a.pdf", "one"), ("b.pdf", None)]
 
 
 def test_an_extractor_that_returns_no_string(spark, corpus):
     raw = extract_with(scan_binary(spark, corpus), lambda content: None, uri="path")
-    assert {r.rawText for r in raw.collect()} == {""}
+    assert {r.rawText for r in raw.collect()} == {None}
 
 
 def test_html_extraction(spark):

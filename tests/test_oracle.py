@@ -3,12 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
+from docindex.oracles import ORACLES
+from docindex.queries import QUERIES
 from tests.compare import connect, duck_rows, spark_rows
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
-
-
 # Row counts of FIXTURES.md for the smallest data.
 COUNTS = {
     "detect_new_or_changed": 60,
@@ -36,9 +34,9 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
         assert rows == expected
 
 
-def test_only_the_file_listing_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"binary_scan"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

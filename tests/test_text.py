@@ -23,9 +23,9 @@ def run(spark, texts, engine="jvm"):
 
 
 CASES = [
-    ("Hello\nWORLD\tPDF!!", "hello world pdf!!"),
-    ("   padded text   ", "padded text"),
-    ("Mixed \t Whitespace\n\nAnd CAPS", "mixed whitespace and caps"),
+    ("Tea\nAND\tSCONES?", "tea and scones?"),
+    ("  blanks outside ", "blanks outside"),
+    ("Some \t Gaps\n\nIN One", "some gaps in one"),
     ("cafe\u0301", "caf\u00e9"),
     ("caf\u00e9", "caf\u00e9"),
     ("a\u00a0 b", "a\u00a0 b"),
