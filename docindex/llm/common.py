@@ -44,6 +44,17 @@ def bounded(keys: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
 
 
+def first_by_hash(rows: DataFrame, n: int, limit: int, *key: str) -> DataFrame:
+    """Up to ``limit`` of the ``n`` rows, in the order of a hash of ``key``: a
+    bounded sample that does not depend on partitions. Rows that cannot be among
+    them are dropped where they lie, so no task sends more than its share."""
+    order = F.xxhash64(*key)
+    share = 1.2 * limit / max(n, 1)
+    if share < 1:
+        rows = rows.filter(order < F.lit(int(-(1 << 63) + share * (1 << 64))))
+    return rows.orderBy(order, *key).limit(limit)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

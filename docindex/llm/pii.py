@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docindex.llm.common import Batches, staged, text_key
+from docindex.llm.common import Batches, first_by_hash, staged, text_key
 
 EMAIL, IP, CARD, PHONE, SECRET = range(5)
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -249,8 +249,9 @@ def span_model(found: DataFrame) -> np.ndarray | None:
         votes = np.array([p.votes for p in own])
         _, true = reliabilities(votes, np.array([p.n for p in own], float))
         truth |= {(kind, tuple(p.votes)): float(t) for p, t in zip(own, true)}
-    order = F.xxhash64("doc", "text_key", "kind", "start")
-    sample = spans.orderBy(order, "start", "end").limit(SAMPLE).select("kind", "votes", "features").collect()
+    n = sum(p.n for p in patterns)
+    sample = first_by_hash(spans, n, SAMPLE, "doc", "text_key", "kind", "start", "end")
+    sample = sample.select("kind", "votes", "features").collect()
     x = np.array([r.features for r in sample], float)
     return fit(x, np.array([truth[r.kind, tuple(r.votes)] for r in sample]))
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docindex.llm.common import VOCABULARY, Batches, per_process, utf8
+from docindex.llm.common import VOCABULARY, Batches, first_by_hash, per_process, utf8
 
 LABELLED = 6_000
 WORD_BUCKETS, SHAPE_BUCKETS, FIGURE_BUCKETS = 1024, 768, 256
@@ -172,7 +172,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
     that repeats in either table counts once; NULL ids and labels are left out."""
     known = labels.select(F.col(doc_id).cast("bigint").alias("id"), F.col(label).cast("double").alias("label"))
     known = known.dropna().groupBy("id").agg(F.max("label").alias("label"))
-    known = known.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
+    known = first_by_hash(known, known.count(), LABELLED, "id")
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
     return texts.join(F.broadcast(known), F.col("doc") == F.col("id")).select("label", "text")
 
