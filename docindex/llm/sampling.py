@@ -12,7 +12,6 @@ repeats the row repeats it.
 from __future__ import annotations
 
 import itertools
-import math
 from collections import defaultdict
 
 import numpy as np
@@ -25,7 +24,7 @@ from docindex.llm.common import Batches, mix, per_process, slices, utf8
 from docindex.llm.pieces import Pieces, default_path
 
 SEED = 1
-REMEMBERED = 400_000  # units
+REMEMBERED = 300_000  # units
 
 
 class Lattices:
@@ -40,66 +39,82 @@ class Lattices:
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.states = 0
         # Of each edge: state + cumulative share, characters, first id, number of ids.
-        self.at, self.chars = np.zeros(0), np.zeros(0, np.int64)
-        self.first, self.many = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, self.chars = np.zeros(0), np.zeros(0, np.int8)
+        self.first, self.many = np.zeros(0, np.int32), np.zeros(0, np.int8)
         self.fallback: dict[int, list[int]] = {}
 
-    def incoming(self, unit: str) -> list[list[tuple[int, int, float]]]:
-        """Edges by end position: (characters, id or -1 for bytes, log-weight)."""
-        ids, prefixes = self.pieces.ids, self.pieces.prefixes
-        n = len(unit)
-        into: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            for j in range(i + 1, min(n, i + self.pieces.longest) + 1):
-                part = unit[i:j]
-                if part not in prefixes:
-                    break
-                found = ids.get(part)
-                if found:
-                    into[j].append((j - i, *found))
-            if not into[i + 1] or into[i + 1][-1][0] != 1:  # no piece of this character
-                into[i + 1].append((1, -1, len(unit[i].encode()) * self.pieces.byte_weight))
-        return into
-
     def learn(self) -> None:
+        """Add the units numbered since the last call: all of their pieces, found
+        by walking the vocabulary's trie from every character at once, and the
+        forward weights, position by position."""
         new = list(itertools.islice(self.number, len(self.start), None))
-        starts, at, chars, first, many = [], [], [], [], []
-        edge, state = len(self.at), self.states
-        exp, log = math.exp, math.log
-        for unit in new:
-            starts.append(state)
-            alpha = [0.0] * (len(unit) + 1)
-            for j, edges in enumerate(self.incoming(unit)):
-                if j:
-                    value = [alpha[j - c] + w for c, _, w in edges]
-                    top = max(value)
-                    share = [exp(v - top) for v in value]
-                    total = sum(share)
-                    alpha[j] = top + log(total)
-                    below = 0.0
-                    for (c, i, _), s in zip(edges, share):
-                        below += s / total
-                        at.append(state + j + min(below, 1.0))
-                        chars.append(c)
-                        if i < 0:
-                            own = [self.pieces.byte_ids[b] for b in unit[j - 1].encode()]
-                            self.fallback[edge] = own
-                            first.append(own[0])
-                            many.append(len(own))
-                        else:
-                            first.append(i)
-                            many.append(1)
-                        edge += 1
-                    at[-1] = state + j + 1.0
-            state += len(unit) + 1
-        if new:
-            self.start = np.concatenate([self.start, np.array(starts, np.int64)])
-            self.length = np.concatenate([self.length, np.array([len(u) for u in new], np.int64)])
-            self.at = np.concatenate([self.at, np.array(at)])
-            self.chars = np.concatenate([self.chars, np.array(chars, np.int64)])
-            self.first = np.concatenate([self.first, np.array(first, np.int64)])
-            self.many = np.concatenate([self.many, np.array(many, np.int64)])
-            self.states = state
+        if not new:
+            return
+        codes = np.frombuffer("".join(new).encode("utf-32-le"), np.uint32).astype(np.int64)
+        length = np.array([len(u) for u in new], np.int64)
+        first_char = np.cumsum(length) - length
+        unit = np.repeat(np.arange(len(new)), length)
+        end, chars, ids, weight = self._edges(codes, (first_char + length)[unit])
+
+        # A unit's states are its positions, 0 included.
+        state = end + unit[end - 1]
+        position = end - first_char[unit[end - 1]]
+        order = np.lexsort((chars, state, position))
+        end, chars, ids, weight, state, position = (x[order] for x in (end, chars, ids, weight, state, position))
+        alpha = np.zeros(len(codes) + len(new))
+        at = np.empty(len(end))
+        bounds = np.flatnonzero(np.concatenate([[True], np.diff(position) != 0, [True]]))
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            value = alpha[state[lo:hi] - chars[lo:hi]] + weight[lo:hi]
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(state[lo:hi]) != 0]))
+            many = np.diff(np.append(heads, hi - lo))
+            top = np.maximum.reduceat(value, heads)
+            share = np.exp(value - np.repeat(top, many))
+            total = np.add.reduceat(share, heads)
+            alpha[state[lo + heads]] = top + np.log(total)
+            below = np.cumsum(share)
+            below -= np.repeat(below[heads] - share[heads], many)
+            at[lo:hi] = state[lo:hi] + np.minimum(below / np.repeat(total, many), 1.0)
+            at[lo + heads + many - 1] = state[lo + heads] + 1.0
+
+        order = np.lexsort((chars, state))
+        ids, many = ids[order], np.ones(len(ids), np.int8)
+        for k in np.flatnonzero(ids < 0).tolist():  # bytes of a character without a piece
+            own = [self.pieces.byte_ids[x] for x in chr(codes[end[order[k]] - 1]).encode()]
+            self.fallback[len(self.at) + k] = own
+            ids[k], many[k] = own[0], len(own)
+        self.start = np.concatenate([self.start, self.states + first_char + np.arange(len(new))])
+        self.length = np.concatenate([self.length, length])
+        self.at = np.concatenate([self.at, self.states + at[order]])
+        self.chars = np.concatenate([self.chars, chars[order].astype(np.int8)])
+        self.first = np.concatenate([self.first, ids.astype(np.int32)])
+        self.many = np.concatenate([self.many, many])
+        self.states += len(codes) + len(new)
+
+    def _edges(self, codes: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``(end, characters, id or -1 for bytes, log-weight)`` of every piece at
+        every place; ``limit``: where the unit of a character ends."""
+        trie = self.pieces.trie
+        active, node, depth = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        alone = np.zeros(len(codes), bool)
+        found = []
+        while len(active):
+            inside = active + depth < limit[active]
+            active, node = active[inside], node[inside]
+            key = (node << 21) | codes[active + depth]
+            i = np.minimum(np.searchsorted(trie.keys, key), len(trie.keys) - 1)
+            known = trie.keys[i] == key
+            active, node = active[known], trie.next[i[known]]
+            depth += 1
+            piece = trie.piece[node]
+            hit = piece >= 0
+            if depth == 1:
+                alone[active[hit]] = True
+            found.append((active[hit] + depth, np.full(hit.sum(), depth), piece[hit], trie.weight[node[hit]]))
+        rest = np.flatnonzero(~alone)
+        size = 1 + (codes[rest] >= 0x80) + (codes[rest] >= 0x800) + (codes[rest] >= 0x10000)
+        found.append((rest + 1, np.ones(len(rest), np.int64), np.full(len(rest), -1), size * self.pieces.byte_weight))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def sample(self, units: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges drawn for each occurrence, in text order, and how many each has."""
@@ -125,7 +140,7 @@ class Lattices:
 
     def ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges, and how many each edge has."""
-        many = self.many[edges]
+        many = self.many[edges].astype(np.int64)
         ids = np.repeat(self.first[edges], many)
         ends = np.cumsum(many)
         for k in np.flatnonzero(many > 1).tolist():
@@ -141,7 +156,7 @@ class Sample:
 
     def __call__(self, batches: Batches) -> Batches:
         lattices = per_process(f"lattices {self.path}", lambda: Lattices(Pieces(self.path)))
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, 2 << 20)):
             if len(lattices.number) > REMEMBERED:
                 lattices.reset()
             number = lattices.number.__getitem__
@@ -157,6 +172,7 @@ class Sample:
             # From ids per edge and edges per unit to ids per text.
             bound = np.concatenate([[0], np.cumsum(many)])[np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]]
             every = ids.tolist()
+            del units, edges, places, docs
             decode = lattices.pieces.decode
             decoded = [decode(every[i:j]) for i, j in zip(bound[:-1].tolist(), bound[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
