@@ -25,6 +25,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docindex.llm.common import (
     Batches,
@@ -268,7 +269,11 @@ class Count:
 
 
 class Cut:
-    """Texts and the word ranges to remove from them to what is left."""
+    """Texts and the word ranges to remove from them to what is left; ``carried``
+    columns pass by."""
+
+    def __init__(self, carried: list[str]) -> None:
+        self.carried = carried
 
     def __call__(self, batches: Batches) -> Batches:
         for batch in (part for whole in batches for part in slices(whole)):
@@ -294,14 +299,13 @@ class Cut:
                 cut.append(line.strip() if left else b"")
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc"),
-                    batch.column("text_key"),
+                    *[batch.column(c) for c in self.carried],
                     pa.array(totals, pa.int64()),
                     pa.array(removed, pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()),
                     pa.array(cut, pa.binary()).cast(pa.string()),
                 ],
-                ["doc", "text_key", "n_words", "n_removed", "kept", "cut_text"],
+                [*self.carried, "n_words", "n_removed", "kept", "cut_text"],
             )
 
 
@@ -325,8 +329,11 @@ def repeated_ranges(texts: DataFrame, size: int) -> DataFrame:
     return shipped.groupBy("bucket").applyInArrow(count_bucket, "doc bigint, key bigint, start int, words int")
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 20) -> DataFrame:
-    """``(doc, text_key, n_words, n_removed, kept, cut_text)`` per row of ``docs``.
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 20, carry: list[str] | None = None
+) -> DataFrame:
+    """``(doc, text_key, n_words, n_removed, kept, cut_text)`` per row of ``docs``;
+    with ``carry``, also ``row``, a struct of those columns.
 
     Each word is removed that lies in a window of ``size`` words whose word
     sequence also starts earlier: in a document with a smaller id, or before in
@@ -346,7 +353,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     ranges = ranges.groupBy("range_doc", "key").agg(F.collect_list("range").alias("ranges"))
     same = (F.coalesce("doc", F.lit(int(NO_ID))) == F.col("range_doc")) & (F.col("text_key") == F.col("key"))
-    joined = texts.join(ranges, same, "left").select("doc", "text_key", "text", "ranges")
-    return joined.mapInArrow(
-        Cut(), "doc bigint, text_key bigint, n_words bigint, n_removed bigint, kept string, cut_text string"
-    )
+    carried = ["doc", "text_key"]
+    if carry:
+        carried.append("row")
+        row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
+        texts = docs.select(
+            F.col(doc_id).cast("bigint").alias("doc"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"), row
+        )
+    joined = texts.join(ranges, same, "left").select(*carried, "text", "ranges")
+    schema = T.StructType([joined.schema[c] for c in carried])
+    schema = schema.add("n_words", "bigint").add("n_removed", "bigint").add("kept", "string").add("cut_text", "string")
+    return joined.mapInArrow(Cut(carried), schema)
