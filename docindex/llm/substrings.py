@@ -329,6 +329,12 @@ def repeated_ranges(texts: DataFrame, size: int) -> DataFrame:
     return shipped.groupBy("bucket").applyInArrow(count_bucket, "doc bigint, key bigint, start int, words int")
 
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    """As a Python task may return it: any field can be NULL."""
+    kind = lambda t: _nullable(t) if isinstance(t, T.StructType) else t
+    return T.StructType([T.StructField(f.name, kind(f.dataType)) for f in schema.fields])
+
+
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 20, carry: list[str] | None = None
 ) -> DataFrame:
@@ -361,6 +367,7 @@ def remove_repeats(
             F.col(doc_id).cast("bigint").alias("doc"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"), row
         )
     joined = texts.join(ranges, same, "left").select(*carried, "text", "ranges")
-    schema = T.StructType([joined.schema[c] for c in carried])
-    schema = schema.add("n_words", "bigint").add("n_removed", "bigint").add("kept", "string").add("cut_text", "string")
+    schema = _nullable(joined.select(*carried).schema)
+    for name, kind in (("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType()), ("cut_text", T.StringType())):
+        schema = schema.add(name, kind)
     return joined.mapInArrow(Cut(carried), schema)
