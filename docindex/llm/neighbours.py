@@ -56,8 +56,10 @@ def _meetings(members: pa.Table) -> pa.Table:
     ``GAINED`` others there, better than the worst it has."""
     members = members.sort_by([("meeting", "ascending"), ("node", "ascending")])
     column = members.column("vector").combine_chunks()
-    x = column.flatten().to_numpy().astype(np.float32).reshape(len(column), -1)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    # Cosines of near copies differ in digits that float32 does not have.
+    x = column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that no square under- or overflows
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     meeting, node, worst, fresh = (members.column(c).to_numpy() for c in ("meeting", "node", "worst", "fresh"))
     edges = np.flatnonzero(np.concatenate([[True], np.diff(meeting) != 0])).tolist() + [len(meeting)]
     nodes, others, values = [], [], []
@@ -107,13 +109,9 @@ def _best(edges: DataFrame, width: int) -> DataFrame:
 def build(nodes: DataFrame) -> DataFrame:
     """The graph ``(node, other, cosine)`` of ``nodes(node, vector)``.
 
-    Meetings compare vectors in 8 bits a component, a quarter of what is
-    exchanged; the search compares the vectors themselves.
+    Meetings compare the vectors as they are: rounded ones would make the members
+    of a group of near copies alike, and their edges arbitrary.
     """
-    largest = F.array_max(F.transform("vector", lambda v: F.abs(v)))
-    coarse = F.transform("vector", lambda v: F.round(v / F.col("largest") * 127).cast("tinyint"))
-    nodes = nodes.withColumn("largest", largest).select("node", coarse.alias("vector"))
-    nodes = staged(nodes, "coarse")
     total = nodes.count()
     groups = max(1, math.ceil(total / GROUP))
     drawn = [F.pmod(F.xxhash64("node", F.lit(i)), F.lit(groups)) * FIRST_GROUPS + i for i in range(FIRST_GROUPS)]

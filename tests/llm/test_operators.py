@@ -351,6 +351,24 @@ def test_recall_against_all_pairs(spark):
     assert hits / (60 * 5) >= 0.9
 
 
+def test_recall_inside_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.standard_normal(64)
+    group = centre + 0.001 * rng.standard_normal((3000, 64))
+    x = np.concatenate([rng.standard_normal((500, 64)), group]).astype(np.float32)
+    rows = nearest(vectors(spark, x), F.col("vec_id") % 50 == 0).collect()
+    own = defaultdict(set)
+    for r in rows:
+        own[r.query_id].add(r.vec_id)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    hits, queries = 0, range(500, 3500, 50)
+    for q in queries:
+        score = unit @ unit[q]
+        score[q] = -2
+        hits += len(own[q] & set(np.argsort(-score)[:5].tolist()))
+    assert hits / (5 * len(queries)) >= 0.9
+
+
 def test_hard_cases_of_search(spark):
     nan, inf = float("nan"), float("inf")
     x = [[1, 0], [1, 0], [0, 1], None, [], [0, 0], [nan, 1], [inf, 1], [2, 0], [1, 1], [5, 5]]
