@@ -56,15 +56,16 @@ _SEPARATORS = re.compile(rb"([\x20\x09-\x0D]+)")
 
 
 class _Windows:
-    """The windows of a batch of documents, in order of (id, start)."""
+    """The windows of a batch of documents, in order of (id, text key, start)."""
 
     def __init__(self, batch: pa.RecordBatch, size: int, vocabulary: Vocabulary) -> None:
         docs = batch.column("doc").fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
-        order = np.argsort(docs, kind="stable")
+        keys = batch.column("text_key").to_numpy(zero_copy_only=False)
+        order = np.lexsort((keys, docs))
         texts = list(utf8(batch.column("text")))
         self.size = size
         self.docs = docs[order]
-        self.keys = batch.column("text_key").to_numpy(zero_copy_only=False)[order]
+        self.keys = keys[order]
         self.words: list[bytes] = []
         lengths = []
         for i in order:
@@ -158,7 +159,8 @@ class Ship:
         for i in span:
             same &= w.numbers[w.at[a] + i] == w.numbers[w.at[b] + i]
         start = w.at - w.first[w.window_row]
-        tied = (w.docs[w.window_row[a]] == w.docs[w.window_row[b]]) & (start[a] == start[b])
+        one, other = w.window_row[a], w.window_row[b]
+        tied = (w.docs[one] == w.docs[other]) & (w.keys[one] == w.keys[other]) & (start[a] == start[b])
         repeats = a[same & ~tied]
 
         sent = np.ones(len(w.at), bool)
@@ -244,8 +246,8 @@ class Count:
         many = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
         if not len(many):
             return runs[:0]
-        doc, start = runs["doc"][run], runs["start"][run] + offset
-        many = many[np.lexsort((start[many], doc[many], hashes[many]))]
+        doc, key, start = runs["doc"][run], runs["key"][run], runs["start"][run] + offset
+        many = many[np.lexsort((start[many], key[many], doc[many], hashes[many]))]
         _, group = np.unique(hashes[many], return_inverse=True)
         heads = many[_starts(np.diff(group) != 0)][group]
         different = np.zeros(len(many), bool)
@@ -254,10 +256,10 @@ class Count:
         if different.any():  # one hash for several word sequences
             sequences = numbers[at[many][:, None] + np.arange(self.size)]
             _, group = np.unique(sequences, axis=0, return_inverse=True)
-            again = np.lexsort((start[many], doc[many], group.ravel()))
+            again = np.lexsort((start[many], key[many], doc[many], group.ravel()))
             many, group = many[again], group.ravel()[again]
             heads = many[_starts(np.diff(group) != 0)][group]
-        later = (doc[many] != doc[heads]) | (start[many] != start[heads])
+        later = (doc[many] != doc[heads]) | (key[many] != key[heads]) | (start[many] != start[heads])
         repeats = np.sort(many[later])
         if not len(repeats):
             return runs[:0]
@@ -348,8 +350,9 @@ def remove_repeats(
     itself where nothing was removed).
 
     A NULL text has no words (``cut_text`` NULL, ``kept`` empty). A NULL id comes
-    before all others. Rows that repeat an id and a text are one document and get
-    equal rows. Extra columns are ignored; an empty table gives an empty one.
+    before all others. Different texts of one id (or of NULL ids) are different
+    documents, in the order of ``text_key``. Rows that repeat an id and a text are
+    one document and get equal rows. Extra columns are ignored; an empty table gives an empty one.
     """
     texts = docs.select(
         F.col(doc_id).cast("bigint").alias("doc"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")

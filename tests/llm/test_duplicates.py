@@ -96,3 +96,15 @@ def test_equal_hashes_do_not_make_equal_windows(spark, small_batches, monkeypatc
     texts = cases.make_texts(seed=4, n=12)
     left = remove_repeats(cases.frame(spark, texts), size=20).collect()
     assert {r.doc: r.kept for r in left} == {i: " ".join(w) for i, w in enumerate(cases.cut_repeats(texts, 20))}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_different_texts_of_one_id_are_different_documents(spark, parts):
+    """A passage at word 0 of texts without an id, of texts under one id, and of equal rows."""
+    line, other, third = (" ".join(f"{c}{i}" for i in range(25)) for c in "xyz")
+    texts = [f"{line} a", f"{line} b", f"{other} a", f"{other} b", f"{third} a", f"{third} a"]
+    docs = cases.frame(spark, texts, [None, None, 6, 6, 7, 7]).repartition(parts)
+    removed = {}
+    for r in remove_repeats(docs, size=20).collect():
+        removed.setdefault(r.doc, []).append(r.n_removed)
+    assert {d: sorted(n) for d, n in removed.items()} == {None: [0, 25], 6: [0, 25], 7: [0, 0]}
