@@ -46,7 +46,9 @@ _DIGIT = re.compile(r"[0-9]")
 # Looser patterns of candidates.
 _LOOSE_PHONE = re.compile(r"(?<![\w.+/-])\(?[0-9]{2,4}\)?(?:[ .-]\(?[0-9]{2,4}\)?){2,4}(?![\w-])")
 _LOOSE_CARD = re.compile(r"(?<![\w-])(?:[0-9]{4}[ -]?){3}[0-9]{1,7}(?![\w-])")
-_LOOSE_SECRET = re.compile(r"(?<!\w)(?=[a-f]*[0-9])[0-9a-f]{32,128}(?!\w)")
+_LOOSE_SECRET = re.compile(
+    r"(?<!\w)(?:(?=[a-f]*[0-9])[0-9a-f]{32,128}|(?=[A-F]*[0-9])[0-9A-F]{32,128})(?!\w)"
+)
 _AT = re.compile(r"[\[({]\s?at\s?[\])}]", re.IGNORECASE)
 _BEFORE_AT = re.compile(r"[\w.+-]{1,64}\s?\Z")
 _AFTER_AT = re.compile(r"\s?[\w-]{1,63}(?:\s?(?:[\[({]\s?dot\s?[\])}]|\.)\s?[\w-]{1,63}){1,4}", re.IGNORECASE)
@@ -56,7 +58,7 @@ _STRICT = {
     IP: re.compile(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"),
     CARD: re.compile(r"[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}"),
     PHONE: re.compile(r"(?:\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}"),
-    SECRET: re.compile(r"[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}"),
+    SECRET: re.compile("|".join(f"[0-9{hexa}]{{{n}}}" for hexa in ("a-f", "A-F") for n in (32, 40, 64))),
 }
 # Words that announce personal data, by kind.
 _ANNOUNCES = {

@@ -224,6 +224,16 @@ def test_the_model_adds_announced_spans_and_keeps_base_ones(spark):
     assert hidden[60] == "mail <EMAIL> or <PHONE> today"
 
 
+@pytest.mark.parametrize("size", [32, 40, 64])
+def test_secrets_of_either_case_are_candidates(size):
+    token = ("9233a8ecf7" * 7)[:size]
+    for own, found in ((token, True), (token.upper(), True), (token[:-1] + "F", False)):
+        text = f'TOKEN = "{own}"'
+        spans = [s for s in pii.loose_spans(text) if s[0] == pii.SECRET]
+        assert spans == ([(pii.SECRET, 9, 9 + size)] if found else [])
+        assert [pii.votes_of(text, *s)[0] for s in spans] == [1] * len(spans)
+
+
 def test_reliabilities_find_the_useless_labeler():
     rng = np.random.default_rng(2)
     truth = rng.random(4000) < 0.5
