@@ -102,7 +102,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (a ^ (a >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + b
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -116,11 +116,11 @@ def sequence_hashes(word_hashes: np.ndarray, n: int) -> np.ndarray:
     while True:
         if n & size:
             piece = power[done : done + length]
-            out = piece if out is None else _joined(out, piece)
+            out = piece if out is None else joined(out, piece)
             done += size
         if done == n:
             return mix(out)
-        power = _joined(power[:-size], power[size:])
+        power = joined(power[:-size], power[size:])
         size *= 2
 
 

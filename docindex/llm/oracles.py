@@ -90,3 +90,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT (refused AND any_failed) AS kept
 FROM f JOIN v USING (host)
 """
+
+# Words of ASCII letters (A-Z as a-z), digits and characters beyond ASCII.
+_PLAIN = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op12_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, {_PLAIN} AS words FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN} AS words FROM benchmark),
+w AS (
+  SELECT DISTINCT item, size, array_to_string(words[pos:pos + size - 1], ' ') AS passage
+  FROM (SELECT item, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM (SELECT item, words, least(len(words), 10) AS size FROM b WHERE len(words) > 0))
+), p AS (
+  SELECT doc_id, size, pos, array_to_string(words[pos:pos + size - 1], ' ') AS passage
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM d, (SELECT DISTINCT size FROM w))
+), found AS (SELECT doc_id, pos, size, item FROM p JOIN w USING (size, passage)),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n
+  FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM (SELECT DISTINCT doc_id, pos, size FROM found))
+  GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^.,;:!?
+-
+]+')), '[^ 	]+') AS words
+  FROM documents
+), runs AS (
+  SELECT lang, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM pieces, (SELECT unnest([1, 2, 3]) AS size))
+), f AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:], ' ') AS rest
+  FROM (SELECT lang, phrase, a, words, unnest(range(1, size)) AS k FROM c)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+    CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), parts AS (
+  SELECT lang, a AS longer, array_to_string(words[pos:pos + 1], ' ') AS phrase
+  FROM (SELECT lang, a, words, unnest([1, 2]) AS pos FROM c WHERE size = 3)
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN (SELECT lang, phrase, max(longer) AS longer FROM parts GROUP BY lang, phrase) p
+    ON p.lang = b.lang AND p.phrase = b.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""

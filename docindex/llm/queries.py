@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables.
+"""The operators as queries over the given tables.
 
 ``docindex.llm.oracles`` has the same results in SQL where SQL can express them.
 """
@@ -10,7 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docindex.llm.alignment import align
+from docindex.llm.collocations import collocations, top_collocations
 from docindex.llm.common import table
+from docindex.llm.decontamination import benchmark_hits, n_hit
 from docindex.llm.near_dups import near_duplicates
 from docindex.llm.neighbours import nearest
 from docindex.llm.packing import pack
@@ -138,3 +141,37 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts(table(spark, sf_dir, "documents"))
     return counted.select(F.col("doc").alias("doc_id"), "pre_tokens", "tokens")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(table(spark, sf_dir, "documents"))
+    return aligned.select(
+        F.col("doc").alias("doc_id"),
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        "n_words",
+        n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    phrases = top_collocations(collocations(table(spark, sf_dir, "documents")))
+    return phrases.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
