@@ -23,6 +23,9 @@ SPACE = r"[\x20\x09-\x0D]"
 # Tables of up to this many keys may be broadcast: at most some 100 MB.
 BROADCAST_KEYS = 1_000_000
 
+# Keys of an uneven join that are broadcast: those with so great a share of the rows.
+OFTEN = 20_000
+
 # Words a task remembers at a time; above it, it forgets them all.
 VOCABULARY = 1_000_000
 
@@ -44,6 +47,17 @@ def bounded(keys: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(keys) if rows <= BROADCAST_KEYS else keys
 
 
+def join_uneven(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with narrow ``keys``, one row for each value of ``on``,
+    where ``weight`` says how many of the ``total`` rows have that value. Values with
+    more than one ``OFTEN``-th of all rows, so at most ``OFTEN``, are broadcast; the
+    shuffle deals out the others, none of which fills a task."""
+    often = F.col(weight) > total // OFTEN
+    hot = keys.filter(often)
+    even = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(keys.filter(~often), on)
+    return rows.join(F.broadcast(hot), on).unionByName(even)
+
+
 def first_by_hash(rows: DataFrame, n: int, limit: int, *key: str) -> DataFrame:
     """Up to ``limit`` of the ``n`` rows, in the order of a hash of ``key``: a
     bounded sample that does not depend on partitions. Rows that cannot be among

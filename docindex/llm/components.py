@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docindex.llm.common import staged
+from docindex.llm.common import join_uneven, staged
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _lowest(edges: DataFrame) -> DataFrame:
+    """``(a, m, n)``: each node's smallest neighbour and its number of them."""
+    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Every neighbour above a node moves to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m"))
-    low = low.select("a", F.least("a", "m").alias("m"))
-    above = both.filter(F.col("b") > F.col("a")).join(low, "a")
+    low = _lowest(both).select("a", F.least("a", "m").alias("m"), "n")
+    above = join_uneven(both.filter(F.col("b") > F.col("a")), low, "a", "n", 2 * total)
     return above.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of them.
     ``edges`` point downwards (a > b)."""
-    low = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(low, "a").filter(F.col("b") != F.col("m"))
+    low = _lowest(edges)
+    moved = join_uneven(edges, low, "a", "n", total).filter(F.col("b") != F.col("m"))
     return (
         moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
         .unionByName(low.select("a", F.col("m").alias("b")))
@@ -39,11 +43,12 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(edges.filter("a != b").distinct(), "links")
     before = None
     while True:
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == before:
             break
         before = mark
-        edges = staged(_small_star(_large_star(edges)), "stars")
+        # The large star makes no more edges than it is given.
+        edges = staged(_small_star(_large_star(edges, mark[0]), mark[0]), "stars")
     return (
         edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")))

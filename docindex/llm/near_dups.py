@@ -15,10 +15,16 @@
 No list is expanded into all its pairs. In a list every node meets one leader, the
 node whose postings are shared most (in a family of edited copies: their source,
 in all its lists). Afterwards only nodes of *different* components can still be
-missing a link. The nodes of a leader's lists then meet in blocks of ``BLOCK``:
-those outside the leader's component against all others, by one matrix product of
-their full sets per pair of blocks, which returns one link per node and component.
-Families that are linked to their leader, however large, need no such blocks.
+missing a link, and only in lists that hold several components. The nodes of those
+are posted once more, under the rarest shingles of their full sets: two similar
+sets share one of their first ``n - ceil(similarity * n) + 1`` in any common order,
+and texts that merely share a template have nothing in common there. In a list of
+these that still holds several components, the nodes outside the largest meet all
+others in blocks of ``BLOCK``, by one matrix product of full sets per pair of
+blocks, which returns one link per node and component.
+
+A leader's or a list's row that many rows need is sent to them in as many copies as
+they fill blocks, or broadcast if its key is among the few with a large share.
 """
 
 from __future__ import annotations
@@ -37,8 +43,10 @@ from docindex.llm.common import (
     Batches,
     Vocabulary,
     bounded,
+    join_uneven,
     mix,
     sequence_hashes,
+    slices,
     staged,
     text_key,
     utf8,
@@ -90,7 +98,7 @@ class Signer:
 
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             nodes, numbers, counts, signatures = [], [], [], []
             for text in utf8(batch.column("text")):
                 words = text.lower().split() if text else []
@@ -120,7 +128,7 @@ class ShingleSets:
 
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             numbers = [vocabulary.numbers(text.lower().split()) for text in utf8(batch.column("text"))]
             sets = [s.view(np.int64) for s in shingle_sets(numbers, self.size, vocabulary.hashes())]
             vocabulary.trim()
@@ -180,8 +188,8 @@ def postings(nodes: DataFrame, matches: int) -> DataFrame:
     """``(token, node)`` of every node's prefix; tokens of one node are left out."""
     spread = nodes.select("node", F.posexplode("signature").alias("at", "value"))
     spread = spread.select("node", (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("value")).alias("token"))
-    shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    ordered = spread.join(shared, "token").groupBy("node").agg(
+    shared, total = _shared(spread)
+    ordered = join_uneven(spread, shared, "token", "df", total).groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")
     )
     # Tokens of one node come first in the order, and are not in ``tokens``.
@@ -191,6 +199,27 @@ def postings(nodes: DataFrame, matches: int) -> DataFrame:
     return kept.select("node", (-shares).alias("rank"), F.explode(prefix).alias("t")).select("t.token", "node", "rank")
 
 
+def _shared(spread: DataFrame) -> tuple[DataFrame, int]:
+    """``(token, df)`` of the tokens of several nodes, and their postings' number."""
+    shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = staged(shared, "shared")
+    return shared, shared.agg(F.sum("df")).first()[0] or 0
+
+
+def rarest(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``(token, node)``: nodes under the rarest shingles of their sets that a similar
+    set must share one of; shingles of one node are left out."""
+    spread = sets.select("node", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
+    shared, total = _shared(spread.select("token"))
+    ordered = join_uneven(spread, shared, "token", "df", total).groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")
+    )
+    length = F.col("n") - F.ceil(F.col("n") * num / den) + 1
+    # Shingles of one node come first in the order, and are not in ``tokens``.
+    left = F.greatest(length - (F.col("n") - F.size("tokens")), F.lit(0)).cast("int")
+    return ordered.select("node", F.explode(F.slice("tokens", F.lit(1), left)).alias("t")).select("t.token", "node")
+
+
 class Join:
     """The links found so far, and how to confirm more pairs."""
 
@@ -200,28 +229,54 @@ class Join:
         self.links: list[DataFrame] = []
 
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """``(a, b, agreeing)`` of the pairs whose signatures allow a link."""
-        left = self.signatures.toDF("a", "na", "sa")
+        """``(a, b, part, na, nb, agreeing)`` of pairs of leaders with their nodes; a
+        leader's pairs fall into parts of about ``BLOCK``, each with its own copy."""
+        parts = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")
+        self.leaders = staged(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"), parts), "leaders")
+        total = self.leaders.agg(F.sum("n")).first()[0] or 0
+        pairs = join_uneven(pairs, self.leaders, "a", "n", total)
+        pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+        left = self.copies(self.signatures.toDF("a", "na", "sa"))
         right = self.signatures.toDF("b", "nb", "sb")
-        met = pairs.join(right, "b").join(left, "a")
-        return met.select("a", "b", "na", "nb", _agreeing(F.col("sa"), F.col("sb")).alias("agreeing"))
+        met = pairs.join(right, "b").join(left, ["a", "part"])
+        return met.select("a", "b", "part", "na", "nb", _agreeing(F.col("sa"), F.col("sb")).alias("agreeing"))
+
+    def copies(self, rows: DataFrame) -> DataFrame:
+        """A row of each leader for each of its parts."""
+        every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        return rows.join(self.leaders.select("a", "parts"), "a").select(*rows.columns, every)
 
     def confirm(self, compared: DataFrame) -> None:
         """Keep the pairs whose full sets are similar enough."""
         fits = (F.least("na", "nb") * self.den >= F.greatest("na", "nb") * self.num)
         likely = compared.filter((F.col("agreeing") >= self.matches) & fits)
-        met = likely.join(self.sets.toDF("b", "y"), "b").join(self.sets.toDF("a", "x"), "a")
+        likely = staged(likely.drop("agreeing"), "likely")
+        asked = likely.select("a").distinct()
+        left = self.copies(self.sets.toDF("a", "x").join(asked, "a", "left_semi"))
+        met = likely.join(self.sets.toDF("b", "y"), "b").join(left, ["a", "part"])
         common = F.size(F.array_intersect("x", "y"))
         union = F.col("na") + F.col("nb") - F.col("common")
         linked = met.select("a", "b", "na", "nb", common.alias("common"))
         linked = linked.filter(F.col("common") * self.den >= union * self.num)
         self.links.append(staged(linked.select("a", "b"), "near-pairs"))
 
-    def across(self, family: DataFrame) -> None:
-        """Links between components among ``family(leader, node, root, outside)``:
-        ``outside`` nodes against all of their leader's."""
-        sizes = family.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.max("outside").alias("open"))
-        rows = family.join(sizes.filter("open"), "leader")
+    def across(self, lists: DataFrame) -> None:
+        """Links between components among ``lists(token, node, root)``: nodes outside
+        the largest component of a list against all others there."""
+        held = staged(lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")), "held")
+        sizes = held.groupBy("token").agg(
+            F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("head"), F.count(F.lit(1)).alias("roots")
+        )
+        sizes = staged(sizes.filter("roots > 1").select("token", "n", "head"), "open")
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        rows = join_uneven(lists, sizes, "token", "n", total).select(
+            F.col("token").alias("leader"),
+            "node",
+            "root",
+            (F.col("root") != F.col("head")).alias("outside"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        )
+        rows = staged(rows, "families")
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         others = F.sequence(F.lit(0), F.col("blocks") - 1)
         x = rows.select("leader", "node", "root", F.lit(False).alias("asks"), own.alias("i"), F.explode(others).alias("j"))
@@ -241,16 +296,24 @@ class Join:
 
 def link_components(posted: DataFrame, join: Join) -> DataFrame:
     """``(node, root)`` of every node that has a link."""
-    leaders = posted.groupBy("token").agg(F.min(F.struct("rank", "node")).alias("first"))
-    met = posted.join(leaders.select("token", F.col("first.node").alias("leader")), "token")
+    leaders = posted.groupBy("token").agg(F.min(F.struct("rank", "node")).alias("first"), F.count(F.lit(1)).alias("n"))
+    leaders = staged(leaders.select("token", F.col("first.node").alias("leader"), "n"), "first")
+    met = join_uneven(posted, leaders, "token", "n", posted.count())
     met = staged(met.select("leader", "node").distinct(), "met")
     pairs = met.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     join.confirm(join.compared(pairs))
     roots = join.roots()
-    family = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = roots.select(F.col("node").alias("leader"), F.col("root").alias("head"))
-    family = family.join(heads, "leader", "left").withColumn("outside", F.col("root") != F.coalesce("head", "leader"))
-    join.across(staged(family.drop("head"), "families"))
+    placed = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = staged(placed, "placed")
+    several = placed.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("open")
+    )
+    several = staged(several.filter("open").select("leader", "n"), "several")
+    total = several.agg(F.sum("n")).first()[0] or 0
+    asked = join_uneven(placed, several, "leader", "n", total).select("node", "root").distinct()
+    asked = staged(asked, "asked")
+    lists = rarest(join.sets.join(asked, "node", "left_semi"), join.num, join.den)
+    join.across(staged(lists.join(asked, "node"), "lists"))
     return join.roots()
 
 

@@ -58,7 +58,6 @@ def test_components_of_a_long_chain(spark):
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_repeats_match_a_plain_scan(spark, small_batches, monkeypatch, hot):
     monkeypatch.setattr(substrings, "HOT", hot)
-    monkeypatch.setattr(substrings, "REPORTED", 1)
     monkeypatch.setattr(substrings, "HOT_SHARE", 50_000 if hot > 1 else 10_000_000)
     monkeypatch.setattr(substrings, "BUCKET_WORDS", 500)
     texts = cases.make_texts(seed=9)
@@ -98,6 +97,66 @@ def test_equal_hashes_do_not_make_equal_windows(spark, small_batches, monkeypatc
     assert {r.doc: r.kept for r in left} == {i: " ".join(w) for i, w in enumerate(cases.cut_repeats(texts, 20))}
 
 
+def test_frequent_values_keep_their_counts_within_the_bound():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    frequent, true = substrings.Frequent(50), np.zeros(5000, np.int64)
+    for _ in range(200):
+        values = np.concatenate([rng.integers(0, 5000, 60), [7] * 3, [9]])
+        true += np.bincount(values, minlength=5000)
+        frequent.add(*(x.astype(t) for x, t in zip(np.unique(values, return_counts=True), (np.uint64, np.int64))))
+    held = dict(zip(frequent.values.tolist(), frequent.counts.tolist()))
+    assert len(held) <= 50
+    assert all(n <= true[v] for v, n in held.items())
+    assert true[7] - held.get(7, 0) <= 2 * true.sum() / 50
+
+
+def shipped_windows(texts, hot_share, monkeypatch, slice_rows):
+    """What a task ships of each slice, with every minimiser hot."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(substrings, "slices", lambda b: (b.slice(i, slice_rows) for i in range(0, b.num_rows, slice_rows)))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)],
+        ["doc", "text_key", "text"],
+    )
+    whole = substrings._Windows(batch, 20, substrings.Vocabulary())
+    ship = substrings.Ship(20, 4, np.unique(whole.anchors))
+    for out in ship([batch]):
+        for known, blob in zip(out.column("known").to_pylist(), out.column("blob").to_pylist()):
+            if not known:
+                yield from substrings._unpack(blob)[0].tolist()
+
+
+def test_a_passage_in_every_slice_is_shipped_once_per_task(monkeypatch):
+    passage = " ".join(f"p{i}" for i in range(20))
+    texts = [f"a{i} b{i} {passage}" for i in range(40)]
+    sent = [(d, s) for d, _, s, w in shipped_windows(texts, 1, monkeypatch, 3) for s in range(s, s + w - 19) if s == 2]
+    assert sent == [(0, 2)]
+    # Backwards, every slice's first is earlier than what was shipped before.
+    texts = texts[::-1]
+    assert len([1 for d, _, s, w in shipped_windows(texts, 1, monkeypatch, 3) if s <= 2 < s + w - 19]) == 1
+
+
+def test_templates_below_the_threshold_are_not_compared_in_full(spark, monkeypatch):
+    """Texts of one template, none of them similar enough: few full sets are sent."""
+    sent = []
+    across = near_dups.Join.across
+
+    def counted(self, lists):
+        sent.append(lists.count())
+        across(self, lists)
+
+    monkeypatch.setattr(near_dups.Join, "across", counted)
+    for n in (100, 200):
+        texts = [" ".join(f"t{j}" if j % 12 else f"own{i}x{j}" for j in range(96)) for i in range(n)]
+        found = near_duplicates(cases.frame(spark, texts), shingle=3, num=85, den=100).collect()
+        assert {r.component_id for r in found} == set(range(n))
+    assert sent == [0, 0]
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_different_texts_of_one_id_are_different_documents(spark, parts):
     """A passage at word 0 of texts without an id, of texts under one id, and of equal rows."""

@@ -1,5 +1,6 @@
 """The row-wise operators, sharding, packing and search against plain versions."""
 
+import time
 import zlib
 from collections import defaultdict
 
@@ -10,7 +11,8 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docindex.llm import neighbours, pii, quality, rules, sharding, token_counts
+from docindex.llm import neighbours, pii, quality, rules, sampling, sharding, token_counts
+from docindex.llm.near_dups import near_duplicates
 from docindex.llm.neighbours import nearest
 from docindex.llm.packing import PieceIds, pack
 from docindex.llm.pieces import Pieces, default_path
@@ -19,6 +21,7 @@ from docindex.llm.quality import quality_scores
 from docindex.llm.rules import quality_rules
 from docindex.llm.sampling import Lattices, sample_pieces
 from docindex.llm.sharding import shard_by_bytes
+from docindex.llm.substrings import remove_repeats
 from docindex.llm.token_counts import token_counts as count_tokens
 from tests.llm import cases
 
@@ -103,6 +106,17 @@ def test_blocked_scores_are_the_plain_vote():
         )
 
 
+def test_scores_do_not_depend_on_order_or_repeated_ids(spark):
+    texts = cases.make_texts(seed=8, n=40)
+    ids = [*range(40), *[3] * 60]
+    docs = cases.frame(spark, texts + [f"{texts[i % 40]} again" for i in range(60)], ids)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    forth = sorted((r.doc, r.score) for r in quality_scores(docs.coalesce(1), labels).collect())
+    back = sorted((r.doc, r.score) for r in quality_scores(docs.orderBy(F.rand(1)).repartition(3), labels).collect())
+    assert [d for d, _ in forth] == [d for d, _ in back]
+    assert [x for _, x in forth] == pytest.approx([x for _, x in back], abs=1e-3)
+
+
 def test_hard_cases_of_scores(spark):
     labels = spark.createDataFrame([(4, 1), (5, 0), (6, 1), (6, 1), (None, 1), (9, None)], "doc_id bigint, quality int")
     rows = quality_scores(cases.hard(spark), labels).collect()
@@ -131,6 +145,41 @@ def test_shards_hold_near_equal_bytes(spark, small_batches, monkeypatch, hot):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("ids", [None, 5])
+def test_rows_of_one_key_are_parted(spark, ids):
+    texts = cases.make_texts(seed=2, n=300) + ["a text without an id " * 6] * 200
+    rows = shard_by_bytes(cases.frame(spark, texts, [*range(300), *[ids] * 200]).repartition(3), shards=20).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.shard] += r.size
+    assert len(rows) == 500 and len(sizes) == 20
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * max(r.size for r in rows)
+
+
+def test_many_boundaries_are_found_quickly(monkeypatch):
+    rng = np.random.default_rng(1)
+    keys = np.sort(sharding.encode(*rng.integers(-(2**62), 2**62, (3, 200_000))))
+    numbers = [sharding.as_number(bytes(k)) for k in keys]
+    sizes = np.cumsum(rng.integers(1, 100, len(keys)))
+
+    def histogram(_, probes):
+        edges = [0, *np.searchsorted(keys, np.array(probes, sharding._KEY)).tolist(), len(keys)]
+        below = np.concatenate([[0], sizes])
+        return [
+            (int(below[j] - below[i]), j - i, numbers[i], numbers[j - 1]) if j > i else (0, 0, 0, 0)
+            for i, j in zip(edges[:-1], edges[1:])
+        ]
+
+    monkeypatch.setattr(sharding, "histogram", histogram)
+    started = time.time()
+    total, parts = int(sizes[-1]), 1 << 15
+    bounds = np.array([sharding.as_key(b) for b in sharding.splitters(None, total, parts, 60)], sharding._KEY)
+    assert time.time() - started < 60
+    below = np.concatenate([[0], sizes])[np.searchsorted(keys, bounds)]
+    goals = np.array([total * i // parts for i in range(1, parts)])
+    assert np.abs(below - goals).max() <= 100
+
+
 def test_several_intervals_make_up_a_shard(spark, monkeypatch):
     monkeypatch.setattr(sharding, "INTERVAL_BYTES", 1000)
     rows = shard_by_bytes(cases.frame(spark, cases.make_texts(n=90)), shards=3).collect()
@@ -297,6 +346,38 @@ def test_draws_follow_the_lattice():
         assert seen[path] / draws == pytest.approx(p / total, abs=0.015)
 
 
+def test_the_largest_draw_stays_in_its_unit(monkeypatch):
+    lattices = Lattices(Pieces(default_path()))
+    for i in range(20_000):  # many units before it
+        lattices.number[f" before{i}"]
+    lattices.learn()
+    unit = " nzgozanwzdn"
+    n = lattices.number[unit]
+    lattices.learn()
+    monkeypatch.setattr(sampling, "mix", lambda x: np.full(np.shape(x), (1 << 64) - 1, np.uint64))
+    edges, _ = lattices.sample(np.array([n]), np.zeros(1, np.uint64), np.zeros(1, np.int64))
+    assert lattices.pieces.decode([*lattices.ids(edges)[0].tolist()]) == unit[1:].encode()
+
+
+def test_draws_do_not_depend_on_what_was_learnt_before():
+    pieces, rng = Pieces(default_path()), np.random.default_rng(4)
+    fresh, full = Lattices(pieces), Lattices(pieces)
+    units = [" the", " nation", "日本語日本", " x" * 3, "\n", " reading.", " unbelievably"]
+    for word in ("".join(rng.choice(list("abcdefgh "), 9)) for _ in range(3000)):
+        full.number[word]
+    full.learn()
+    for lattices in (fresh, full):
+        for unit in units:
+            lattices.number[unit]
+            lattices.learn()
+    drawn = []
+    for lattices in (fresh, full):
+        numbers = np.repeat([lattices.number[u] for u in units], 500)
+        edges, counts = lattices.sample(numbers, np.arange(len(numbers), dtype=np.uint64), np.zeros(len(numbers), np.int64))
+        drawn.append((lattices.ids(edges)[0].tolist(), counts.tolist(), lattices.share[edges].tolist()))
+    assert drawn[0] == drawn[1]
+
+
 def test_token_counts_match_a_plain_search(spark, small_batches):
     texts = cases.make_texts(seed=11) + ["▁x", "\n a\n", "日本語日本"]
     pieces = Pieces(default_path())
@@ -329,6 +410,15 @@ def test_hard_cases_of_pieces(spark, monkeypatch):
     assert token_counts.REMEMBERED > 0
 
 
+def test_a_very_long_word(spark):
+    docs = cases.frame(spark, ["w" * 300_000, "one " + "xy" * 100_000])
+    assert all(r.decoded == r.text for r in sample_pieces(docs).collect())
+    assert all(r.tokens > 1000 for r in count_tokens(docs).collect())
+    assert {r.kept for r in remove_repeats(docs).collect()} == {r.text for r in docs.collect()}
+    assert {r.component_id for r in near_duplicates(docs).collect()} == {0, 1}
+    assert pack(docs).agg(F.sum("length")).first()[0] > 1000
+
+
 # -- search -------------------------------------------------------------------
 
 VECTORS = "vec_id bigint, embedding array<float>, node int, vector string, cosine string"
@@ -379,6 +469,12 @@ def test_recall_inside_a_group_of_near_copies(spark):
     assert hits / (5 * len(queries)) >= 0.9
 
 
+def test_vectors_of_another_length_take_no_part(spark):
+    x = [[1.0, 0.0], [0.9, 0.1], [0.0, 1.0], [1.0, 0.0, 0.0, 0.0, 1.0, 1.0]]
+    found = nearest(vectors(spark, x), F.col("vec_id") >= 0, k=5).collect()
+    assert {(r.query_id, r.vec_id) for r in found} == {(a, b) for a in range(3) for b in range(3) if a != b}
+
+
 def test_hard_cases_of_search(spark):
     nan, inf = float("nan"), float("inf")
     x = [[1, 0], [1, 0], [0, 1], None, [], [0, 0], [nan, 1], [inf, 1], [2, 0], [1, 1], [5, 5]]
