@@ -38,8 +38,10 @@ class Lattices:
         self.number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.states = 0
-        # Of each edge: state + cumulative share, characters, first id, number of ids.
-        self.at, self.chars = np.zeros(0), np.zeros(0, np.int8)
+        # Of each state its first edge, with an end; edges of a state lie together.
+        self.edge = np.zeros(1, np.int64)
+        # Of each edge: cumulative share in its state, characters, first id, number of ids.
+        self.share, self.chars = np.zeros(0), np.zeros(0, np.int8)
         self.first, self.many = np.zeros(0, np.int32), np.zeros(0, np.int8)
         self.fallback: dict[int, list[int]] = {}
 
@@ -62,7 +64,7 @@ class Lattices:
         order = np.lexsort((chars, state, position))
         end, chars, ids, weight, state, position = (x[order] for x in (end, chars, ids, weight, state, position))
         alpha = np.zeros(len(codes) + len(new))
-        at = np.empty(len(end))
+        cumulative = np.empty(len(end))
         bounds = np.flatnonzero(np.concatenate([[True], np.diff(position) != 0, [True]]))
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             value = alpha[state[lo:hi] - chars[lo:hi]] + weight[lo:hi]
@@ -70,22 +72,26 @@ class Lattices:
             many = np.diff(np.append(heads, hi - lo))
             top = np.maximum.reduceat(value, heads)
             share = np.exp(value - np.repeat(top, many))
-            total = np.add.reduceat(share, heads)
-            alpha[state[lo + heads]] = top + np.log(total)
-            below = np.cumsum(share)
-            below -= np.repeat(below[heads] - share[heads], many)
-            at[lo:hi] = state[lo:hi] + np.minimum(below / np.repeat(total, many), 1.0)
-            at[lo + heads + many - 1] = state[lo + heads] + 1.0
+            # Each state sums its own edges, so its shares depend on nothing else.
+            row = np.repeat(np.arange(len(heads)), many)
+            nth = np.arange(hi - lo) - heads[row]
+            sums = np.zeros((len(heads), int(many.max())))
+            sums[row, nth] = share
+            sums = np.cumsum(sums, axis=1)
+            alpha[state[lo + heads]] = top + np.log(sums[:, -1])
+            cumulative[lo:hi] = (sums / sums[:, -1:])[row, nth]
 
         order = np.lexsort((chars, state))
         ids, many = ids[order], np.ones(len(ids), np.int8)
         for k in np.flatnonzero(ids < 0).tolist():  # bytes of a character without a piece
             own = [self.pieces.byte_ids[x] for x in chr(codes[end[order[k]] - 1]).encode()]
-            self.fallback[len(self.at) + k] = own
+            self.fallback[len(self.share) + k] = own
             ids[k], many[k] = own[0], len(own)
         self.start = np.concatenate([self.start, self.states + first_char + np.arange(len(new))])
         self.length = np.concatenate([self.length, length])
-        self.at = np.concatenate([self.at, self.states + at[order]])
+        edges = np.bincount(state, minlength=len(codes) + len(new))
+        self.edge = np.concatenate([self.edge, len(self.share) + np.cumsum(edges)])
+        self.share = np.concatenate([self.share, cumulative[order]])
         self.chars = np.concatenate([self.chars, chars[order].astype(np.int8)])
         self.first = np.concatenate([self.first, ids.astype(np.int32)])
         self.many = np.concatenate([self.many, many])
@@ -126,7 +132,7 @@ class Lattices:
         step = 0
         while len(active):
             u = (mix(seed[active] + np.uint64(step)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
-            edge = np.searchsorted(self.at, base[active] + left[active] + u, side="right")
+            edge = self._drawn(base[active] + left[active], u)
             drawn.append((active, edge))
             counts[active] += 1
             left[active] -= self.chars[edge]
@@ -138,6 +144,19 @@ class Lattices:
             out[ends[who] - 1 - step] = edge
         return out, counts
 
+    def _drawn(self, states: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The first edge of each state whose cumulative share is above ``u``; the
+        last, should rounding leave none."""
+        low, high = self.edge[states], self.edge[states + 1] - 1
+        while True:
+            open_ = np.flatnonzero(low < high)
+            if not len(open_):
+                return low
+            middle = (low[open_] + high[open_]) // 2
+            above = self.share[middle] > u[open_]
+            high[open_[above]] = middle[above]
+            low[open_[~above]] = middle[~above] + 1
+
     def ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of edges, and how many each edge has."""
         many = self.many[edges].astype(np.int64)
