@@ -148,7 +148,9 @@ class Sampled:
         for batch in batches:
             texts = list(utf8(batch.column("text")))
             packed = [r.tobytes() for at in range(0, len(texts), BLOCK) for r in counts.matrix(texts[at : at + BLOCK])]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(packed, pa.binary())], ["label", "counts"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("label"), pa.array(packed, pa.binary())], ["doc", "label", "counts"]
+            )
 
 
 class Score:
@@ -168,13 +170,16 @@ class Score:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """``(label, text)`` of the first ``LABELLED`` labelled ids in hash order. An id
-    that repeats in either table counts once; NULL ids and labels are left out."""
+    """``(doc, label, text)`` of the first ``LABELLED`` labelled ids in hash order. An
+    id that repeats in either table counts once, with its largest label and the text
+    of the smallest hash; NULL ids and labels are left out."""
     known = labels.select(F.col(doc_id).cast("bigint").alias("id"), F.col(label).cast("double").alias("label"))
     known = known.dropna().groupBy("id").agg(F.max("label").alias("label"))
     known = first_by_hash(known, known.count(), LABELLED, "id")
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(known), F.col("doc") == F.col("id")).select("label", "text")
+    texts = texts.join(F.broadcast(known), F.col("doc") == F.col("id"))
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return texts.groupBy("doc", "label").agg(one).select("doc", "label", F.col("one.text").alias("text"))
 
 
 def quality_scores(
@@ -188,7 +193,8 @@ def quality_scores(
     one.
     """
     sample = labelled_sample(docs, labels, doc_id, text, label)
-    rows = sample.mapInArrow(Sampled(), "label double, counts binary").limit(LABELLED).collect()
+    rows = sample.mapInArrow(Sampled(), "doc bigint, label double, counts binary").collect()
+    rows.sort(key=lambda r: r.doc)  # at most LABELLED; equal cosines then are always cut alike
     counts = np.frombuffer(b"".join(bytes(r.counts) for r in rows), np.float32).reshape(-1, BUCKETS)
     marks = np.array([r.label for r in rows], np.float32)
     empty = Model(np.ones(BUCKETS, np.float32), np.zeros((BUCKETS, LATENT), np.float32), np.zeros((0, LATENT), np.float32), marks)
