@@ -34,7 +34,6 @@ FIRST_GROUPS = 3
 ROUNDS = 12
 STILL = 0.01  # stop when a smaller share of the list entries changed
 BEAM = 160
-STEPS = 20
 ENTRIES = 256
 BROADCAST_QUERIES = 50_000
 CENTRES = 64  # meetings a task computes at a time
@@ -160,10 +159,10 @@ def search(graph: DataFrame, nodes: DataFrame, starts: DataFrame) -> DataFrame:
 
     new = scored(starts.select("query", "other").distinct())
     seen, beam = new, best(new.withColumn("expanded", F.lit(False)))
-    for _ in range(STEPS):
+    while True:
         wave = beam.filter(~F.col("expanded")).select("query", F.col("other").alias("node"))
         if wave.isEmpty():
-            break
+            break  # at the latest when every node a query can reach is expanded
         reached = wave.join(graph, "node").select("query", "other").distinct()
         new = scored(reached.join(seen.select("query", "other"), ["query", "other"], "left_anti"))
         seen = seen.unionByName(new)
@@ -189,11 +188,16 @@ def nearest(
 
     Vectors that are NULL, empty, zero, or hold NULL or non-finite components take
     no part, nor do rows without an id; of an id that repeats the smallest vector
-    counts. All vectors must have one length. Of equal vectors only the ``k + 1``
+    counts. Cosines need one length: vectors of another than the most frequent one
+    (of equally frequent ones the largest) take no part either. Of equal vectors only the ``k + 1``
     smallest ids are kept as answers, which is all that ties can ask for. Extra
     columns are ignored; an empty table, or a single vector, gives an empty result.
     """
     valid = staged(valid_vectors(rows, vec_id, embedding), "vectors")
+    lengths = valid.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    usual = lengths.orderBy(F.desc("n"), F.desc("length")).first()
+    if usual:
+        valid = valid.filter(F.size("vector") == usual.length)
     by_vector = Window.partitionBy("vector")
     ranked = valid.withColumn("place", F.row_number().over(by_vector.orderBy("vec_id")))
     kept = ranked.filter(F.col("place") <= k + 1).drop("place")
