@@ -6,13 +6,16 @@ run (a super-k-mer) travels as one packed string to the minimiser's bucket, wher
 sorting brings equal windows together. Hashes only arrange the sort: windows of
 one hash are compared word by word.
 
-* A map task ships one occurrence of a window it sees often (the first), and
-  knows by itself that the others are repeats. So a passage that a third of all
-  rows share reaches its bucket once per task.
-* A minimiser that anchors many *different* windows (a frequent phrase) would
-  still fill one bucket. A first pass counts minimisers; the windows of those
-  above ``HOT`` travel singly, spread by the hash of the whole window. There are
-  at most ``HOT_SHARE`` of them, so their list has a fixed bound.
+* Of the equal windows in a slice of a task's rows only the first is shipped; the
+  task knows by itself that the others are repeats.
+* A minimiser that anchors very many windows (a frequent phrase, or a passage that a
+  third of all rows share) would still fill one bucket. A first pass counts
+  minimisers: each task keeps the frequent ones of all its rows, so that a count is
+  short by less than two ``COUNTED``-ths of all super-k-mers. Windows of those above
+  ``HOT`` travel singly, spread by the hash of the whole window, and the task
+  remembers them: a later slice ships one again only if it starts earlier than the
+  one that was shipped. There are at most ``HOT_SHARE`` such minimisers, so their
+  list has a fixed bound.
 * The number of buckets follows the counted words, so a bucket fits in memory.
 """
 
@@ -44,9 +47,11 @@ BUCKET_WORDS = 1_000_000
 # A minimiser is hot above HOT super-k-mers and above one HOT_SHARE-th of all.
 HOT = 20_000
 HOT_SHARE = 50_000
-# Map tasks report minimisers they see at least so often, so a count is short by
-# less than that for each batch of rows.
-REPORTED = 4
+# Minimisers whose counts a task keeps, and the share of its super-k-mers (one
+# COUNTED-th) below which it does not report one.
+COUNTED = 200_000
+# Windows of hot minimisers that a task remembers; above it, it forgets them all.
+REMEMBERED = 200_000
 
 # Stands for a NULL id, which comes before all others.
 NO_ID = np.iinfo(np.int64).min
@@ -95,29 +100,48 @@ def _starts(*changed: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], begin]))
 
 
+class Frequent:
+    """Counts of the frequent of many values, in bounded memory: above ``limit``
+    values, all counts fall by what leaves half of them above 0. A count is short by
+    at most two ``limit``-ths of all that was added."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.total = limit, 0
+        self.values, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.total += int(counts.sum())
+        both, at = np.unique(np.concatenate([self.values, values]), return_inverse=True)
+        sums = np.bincount(at, np.concatenate([self.counts, counts]), len(both)).astype(np.int64)
+        if len(both) > self.limit:
+            sums -= np.partition(sums, len(sums) - self.limit // 2 - 1)[len(sums) - self.limit // 2 - 1]
+            both, sums = both[sums > 0], sums[sums > 0]
+        self.values, self.counts = both, sums
+
+
 class AnchorCounts:
-    """Super-k-mers per minimiser, as far as a batch shows them often; NULL: all."""
+    """Super-k-mers per minimiser, as far as a task has many of one; NULL: all."""
 
     def __init__(self, size: int) -> None:
         self.size = size
 
     def __call__(self, batches: Batches) -> Batches:
-        vocabulary = Vocabulary()
+        vocabulary, frequent = Vocabulary(), Frequent(COUNTED)
         for batch in (part for whole in batches for part in slices(whole)):
             w = _Windows(batch, self.size, vocabulary)
             vocabulary.trim()
             if not len(w.at):
                 continue
             runs = _starts(np.diff(w.at) != 1, np.diff(w.anchors) != 0)
-            anchors, counts = np.unique(w.anchors[runs], return_counts=True)
-            often = counts >= REPORTED
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None, *anchors[often].view(np.int64).tolist()], pa.int64()),
-                    pa.array([len(runs), *counts[often].tolist()], pa.int64()),
-                ],
-                ["anchor", "n"],
-            )
+            frequent.add(*np.unique(w.anchors[runs], return_counts=True))
+        often = frequent.counts * COUNTED > frequent.total
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([None, *frequent.values[often].view(np.int64).tolist()], pa.int64()),
+                pa.array([frequent.total, *frequent.counts[often].tolist()], pa.int64()),
+            ],
+            ["anchor", "n"],
+        )
 
 
 def _pack(runs: np.ndarray, texts: list[bytes]) -> bytes:
@@ -141,13 +165,16 @@ class Ship:
 
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
+        shipped: dict[bytes, tuple[int, int, int]] = {}  # hot windows and their starts
         for batch in (part for whole in batches for part in slices(whole)):
             w = _Windows(batch, self.size, vocabulary)
             if len(w.at):
-                yield self._shipped(w)
+                yield self._shipped(w, shipped)
             vocabulary.trim()
+            if len(shipped) > REMEMBERED:
+                shipped.clear()
 
-    def _shipped(self, w: _Windows) -> pa.RecordBatch:
+    def _shipped(self, w: _Windows, shipped: dict[bytes, tuple[int, int, int]]) -> pa.RecordBatch:
         hashes = w.hashes()
         order = np.argsort(hashes, kind="stable")
         group = np.cumsum(np.concatenate([[False], np.diff(hashes[order]) != 0]))
@@ -165,10 +192,21 @@ class Ship:
 
         sent = np.ones(len(w.at), bool)
         sent[repeats] = False
+        is_hot = np.isin(w.anchors, self.hot)
+        again = []
+        for i in np.flatnonzero(sent & is_hot).tolist():
+            row = w.window_row[i]
+            mine = (int(w.docs[row]), int(w.keys[row]), int(start[i]))
+            words = b" ".join(w.words[w.at[i] : w.at[i] + self.size])
+            if shipped.setdefault(words, mine) < mine:
+                again.append(i)
+            else:
+                shipped[words] = mine
+        sent[again] = False
+        repeats = np.concatenate([repeats, np.array(again, np.int64)])
         sent = np.flatnonzero(sent)
-        at, anchors = w.at[sent], w.anchors[sent]
-        hot = np.isin(anchors, self.hot)
-        runs = _starts(np.diff(at) != 1, np.diff(anchors) != 0, hot[1:])
+        at, anchors, hot = w.at[sent], w.anchors[sent], is_hot[sent]
+        runs = _starts(np.diff(at) != 1, np.diff(anchors) != 0, hot[1:]) if len(sent) else sent
         length = np.diff(np.append(runs, len(sent))) + self.size - 1
         target = np.where(hot[runs], hashes[sent[runs]], mix(anchors[runs])) % np.uint64(self.buckets)
         by_bucket = np.argsort(target, kind="stable")
@@ -179,7 +217,7 @@ class Ship:
         table["start"], table["words"] = start[sent[runs]], length
 
         buckets, blobs = [], []
-        edges = np.append(_starts(np.diff(target) != 0), len(runs))
+        edges = np.append(_starts(np.diff(target) != 0), len(runs)) if len(runs) else np.zeros(1, np.int64)
         begin, end = at[runs].tolist(), (at[runs] + length).tolist()
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
             texts = [b" ".join(w.words[i:j]) for i, j in zip(begin[lo:hi], end[lo:hi])]
