@@ -134,8 +134,8 @@ class _ByLanguage:
     def __init__(self, depth: int, heavy: list[dict[str, pa.Array]]) -> None:
         self.depth, self.heavy = depth, list(heavy)
 
-    def suffixes(self, batches: Batches):
-        """Yields ``(language, words, columns, counts)``."""
+    def suffixes(self, batches: Batches, depth: int):
+        """Yields ``(language, words, columns, counts)``, suffixes of ``depth`` words."""
         words = Words()
         for batch in (part for whole in batches for part in slices(whole)):
             words.trim()
@@ -144,7 +144,7 @@ class _ByLanguage:
             texts = list(utf8(batch.column("text")))
             for code, lang in enumerate(found.dictionary.to_pylist()):
                 mine = [texts[i] for i in np.flatnonzero(codes == code).tolist() if texts[i]]
-                for columns, counts in suffixes_of(mine, words, self.depth):
+                for columns, counts in suffixes_of(mine, words, depth):
                     yield lang, words, columns, counts
 
     def is_heavy(self, lang: str, words: Words, columns: list[np.ndarray]) -> np.ndarray:
@@ -161,12 +161,10 @@ class CountPrefixes(_ByLanguage):
 
     def __call__(self, batches: Batches) -> Batches:
         length = len(self.heavy) + 1
-        for lang, words, columns, counts in self.suffixes(batches):
-            columns = columns[:length]
+        for lang, words, columns, counts in self.suffixes(batches, length):
             if length > 1:
                 mine = (columns[-1] > 0) & self.is_heavy(lang, words, columns[:-1])
                 columns, counts = [c[mine] for c in columns], counts[mine]
-            columns, counts = fold(columns, counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(counts), pa.string()),
@@ -204,7 +202,7 @@ class SendSuffixes(_ByLanguage):
         return place
 
     def __call__(self, batches: Batches) -> Batches:
-        for lang, words, columns, counts in self.suffixes(batches):
+        for lang, words, columns, counts in self.suffixes(batches, self.depth):
             place = self._places(lang, words, columns)
             order = np.argsort(place, kind="stable")
             order = order[np.searchsorted(place[order], 0) :]
