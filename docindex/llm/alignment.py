@@ -37,7 +37,8 @@ from docindex.llm.common import Batches, per_process, slices, staged, text_key,
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 LANE = 256  # bytes
-REMEMBERED = 300_000  # units
+REMEMBERED = 200_000  # units
+TOGETHER = 1 << 14  # units encoded by one call
 COMMON = 1_000_000
 COUNTED = 1_000_000  # pairs a task counts before it hands them on
 
@@ -77,40 +78,61 @@ class Pair:
                 continue
             if re.search(rf"[^{SPACE_MARK}]{SPACE_MARK}", piece):
                 raise ValueError(f"{b_path}: the piece {piece!r} reaches across a word")
-        self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
+        self._entries = pa.array(self.a_bytes, pa.binary()), pa.array(self.b_bytes, pa.binary())
+        self.a_lengths, self.b_lengths = (pc.binary_length(x).to_numpy().astype(np.int64) for x in self._entries)
         self._forget()
 
     def _forget(self) -> None:
         self._number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-        self._a: list[bytes] = []
-        self._b: list[bytes] = []
-        self._sizes = np.zeros((0, 2), np.int64)
+        # Of A and of B: the ids of all units, and where each unit's begin.
+        self._ids = [np.zeros(0, np.uint32) for _ in "ab"]
+        self._begin = [np.zeros(1, np.int64) for _ in "ab"]
         self._same = np.zeros(0, bool)
 
     def _learn(self) -> None:
         """Encode the units numbered since the last call; each begins with a space."""
-        units = list(itertools.islice(self._number, len(self._a), None))
-        if not units:
-            return
-        a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b = self.b.encode([u[1:] for u in units], num_threads=1)
-        same = []
-        for unit, x, y in zip(units, a, b):
-            raw = unit.encode()
-            same.append(
-                b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw
+        units = list(itertools.islice(self._number, len(self._same), None))
+        for at in range(0, len(units), TOGETHER):
+            part = units[at : at + TOGETHER]
+            encoded = (
+                [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)],
+                self.b.encode([u[1:] for u in part], num_threads=1),
             )
-        self._a += [np.array(x, "<u4").tobytes() for x in a]
-        self._b += [np.array(x, "<u4").tobytes() for x in b]
-        self._sizes = np.concatenate([self._sizes, np.array([(len(x), len(y)) for x, y in zip(a, b)], np.int64)])
-        self._same = np.concatenate([self._same, np.array(same, bool)])
+            raw = [u.encode() for u in part]
+            same = np.ones(len(part), bool)
+            for side, lists in enumerate(encoded):
+                ids = np.fromiter(itertools.chain.from_iterable(lists), np.uint32)
+                begin = np.cumsum([0, *map(len, lists)])
+                same &= self._comes_back(side, raw, ids, begin)
+                self._begin[side] = np.concatenate([self._begin[side], len(self._ids[side]) + begin[1:]])
+                self._ids[side] = np.concatenate([self._ids[side], ids])
+            self._same = np.concatenate([self._same, same])
+
+    def _comes_back(self, side: int, raw: list[bytes], ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each unit's ids are the unit's."""
+        entries = self._entries[side]
+        sizes = np.array(list(map(len, raw)))
+        ends = np.concatenate([[0], np.cumsum((self.a_lengths, self.b_lengths)[side][ids])])[begin]
+        if (np.diff(ends) == sizes).all():
+            joined = entries.take(pa.array(ids)).buffers()[2]
+            if joined is not None and joined.to_pybytes()[: ends[-1]] == b"".join(raw):
+                return np.ones(len(raw), bool)
+        plain = (self.a_bytes, self.b_bytes)[side].__getitem__
+        listed = ids.tolist()
+        return np.array([b"".join(map(plain, listed[i:j])) == r for r, i, j in zip(raw, begin[:-1], begin[1:])], bool)
+
+    def _of_units(self, side: int, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units one after another, and how many each has."""
+        begin = self._begin[side][units]
+        sizes = self._begin[side][units + 1] - begin
+        at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        return self._ids[side][at].astype(np.int64), sizes
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and of B of all texts, one after another, and both numbers of ids
         of each. NULL and empty texts, and those whose bytes do not come back, have
         none."""
-        if len(self._a) > REMEMBERED:
+        if len(self._same) > REMEMBERED:
             self._forget()
         number, docs = self._number.__getitem__, []
         for raw in texts:
@@ -121,11 +143,8 @@ class Pair:
         # A unit that does not come back leaves its whole document without tokens.
         good = np.bincount(owner[~self._same[units]], minlength=len(docs)) == 0
         units, owner = units[good[owner]], owner[good[owner]]
-        n_a = np.bincount(owner, self._sizes[units, 0], len(docs)).astype(np.int64)
-        n_b = np.bincount(owner, self._sizes[units, 1], len(docs)).astype(np.int64)
-        listed = units.tolist()
-        a = np.frombuffer(b"".join(map(self._a.__getitem__, listed)), "<u4").astype(np.int64)
-        b = np.frombuffer(b"".join(map(self._b.__getitem__, listed)), "<u4").astype(np.int64)
+        (a, in_a), (b, in_b) = (self._of_units(side, units) for side in (0, 1))
+        n_a, n_b = (np.bincount(owner, sizes, len(docs)).astype(np.int64) for sizes in (in_a, in_b))
         return a, b, n_a, n_b
 
 
@@ -187,7 +206,7 @@ class Align:
     def __call__(self, batches: Batches) -> Batches:
         pair = per_process(f"pair {self.paths}", lambda: Pair(*self.paths))
         part, seen = TaskContext.get().partitionId(), 0
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, 2 << 20)):
             a, b, n_a, n_b = pair.encode(list(utf8(batch.column("text"))))
             a_ends, b_ends = np.cumsum(pair.a_lengths[a]), np.cumsum(pair.b_lengths[b])
             ends = np.concatenate([[0], a_ends])[np.concatenate([[0], np.cumsum(n_a)])]
@@ -246,7 +265,7 @@ class CountPairs:
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
 
-def _limited(batch: pa.RecordBatch, limit: int = 4 << 20):
+def _limited(batch: pa.RecordBatch, limit: int = 2 << 20):
     """A batch in parts of about ``limit`` bytes of ids, or one row."""
     sizes = np.cumsum(pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False))
     at = 0
