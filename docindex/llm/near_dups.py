@@ -15,13 +15,14 @@
 No list is expanded into all its pairs. In a list every node meets one leader, the
 node whose postings are shared most (in a family of edited copies: their source,
 in all its lists). Afterwards only nodes of *different* components can still be
-missing a link, and only in lists that hold several components. The nodes of those
-are posted once more, under the rarest shingles of their full sets: two similar
-sets share one of their first ``n - ceil(similarity * n) + 1`` in any common order,
-and texts that merely share a template have nothing in common there. In a list of
-these that still holds several components, the nodes outside the largest meet all
-others in blocks of ``BLOCK``, by one matrix product of full sets per pair of
-blocks, which returns one link per node and component.
+missing a link, and only among the nodes of a leader that belong to several: there
+the nodes outside the largest component meet all others in blocks of ``BLOCK``, by
+one matrix product of full sets per pair of blocks, which returns one link per node
+and component. If more than ``BLOCK`` are outside, as in a family of texts that share
+a template but are not similar enough, the leader's nodes are first posted once more,
+under the rarest shingles of their full sets: two similar sets share one of their
+first ``n - ceil(similarity * n) + 1`` in any common order, and texts that merely
+share a template have nothing in common there. Only these lists meet in blocks.
 
 A leader's or a list's row that many rows need is sent to them in as many copies as
 they fill blocks, or broadcast if its key is among the few with a large share.
@@ -260,27 +261,28 @@ class Join:
         linked = linked.filter(F.col("common") * self.den >= union * self.num)
         self.links.append(staged(linked.select("a", "b"), "near-pairs"))
 
-    def across(self, lists: DataFrame) -> None:
+    def across(self, lists: DataFrame, sizes: DataFrame) -> None:
         """Links between components among ``lists(token, node, root)``: nodes outside
-        the largest component of a list against all others there."""
-        held = staged(lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")), "held")
-        sizes = held.groupBy("token").agg(
-            F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("head"), F.count(F.lit(1)).alias("roots")
-        )
-        sizes = staged(sizes.filter("roots > 1").select("token", "n", "head"), "open")
+        the largest component of a list (see ``open_lists``) against all others."""
         total = sizes.agg(F.sum("n")).first()[0] or 0
+        blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
         rows = join_uneven(lists, sizes, "token", "n", total).select(
             F.col("token").alias("leader"),
             "node",
             "root",
             (F.col("root") != F.col("head")).alias("outside"),
-            F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+            blocks("n").alias("blocks"),
+            blocks("n_outside").alias("asking"),
         )
         rows = staged(rows, "families")
-        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        others = F.sequence(F.lit(0), F.col("blocks") - 1)
-        x = rows.select("leader", "node", "root", F.lit(False).alias("asks"), own.alias("i"), F.explode(others).alias("j"))
-        y = rows.filter("outside").select("leader", "node", "root", F.lit(True).alias("asks"), F.explode(others).alias("i"), own.alias("j"))
+        own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        x = rows.select(
+            "leader", "node", "root", F.lit(False).alias("asks"), own("blocks").alias("i"), every("asking").alias("j")
+        )
+        y = rows.filter("outside").select(
+            "leader", "node", "root", F.lit(True).alias("asks"), every("blocks").alias("i"), own("asking").alias("j")
+        )
         blocks = x.unionByName(y).join(self.sets, "node")
         compare = Blocks(self.num, self.den)
 
@@ -304,19 +306,32 @@ def link_components(posted: DataFrame, join: Join) -> DataFrame:
     join.confirm(join.compared(pairs))
     roots = join.roots()
     placed = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = staged(placed, "placed")
-    several = placed.groupBy("leader").agg(
-        F.count(F.lit(1)).alias("n"), (F.min("root") != F.max("root")).alias("open")
-    )
-    several = staged(several.filter("open").select("leader", "n"), "several")
-    total = several.agg(F.sum("n")).first()[0] or 0
-    asked = join_uneven(placed, several, "leader", "n", total).select("node", "root").distinct()
-    asked = staged(asked, "asked")
-    lists = rarest(join.sets.join(asked, "node", "left_semi"), join.num, join.den)
-    join.across(staged(lists.join(asked, "node"), "lists"))
+    placed = staged(placed.withColumnRenamed("leader", "token"), "placed")
+    sizes = open_lists(placed)
+    join.across(placed, sizes.filter(F.col("n_outside") <= BLOCK))
+    loose = sizes.filter(F.col("n_outside") > BLOCK)
+    total = loose.agg(F.sum("n")).first()[0]
+    if total:
+        asked = join_uneven(placed, loose, "token", "n", total).select("node", "root").distinct()
+        asked = staged(asked, "asked")
+        lists = rarest(join.sets.join(asked, "node", "left_semi"), join.num, join.den)
+        lists = staged(lists.join(asked, "node"), "lists")
+        join.across(lists, open_lists(lists))
     return join.roots()
 
 
+def open_lists(lists: DataFrame) -> DataFrame:
+    """``(token, n, head, n_outside)`` of the ``lists(token, node, root)`` with several
+    components: their size, largest component, and how many nodes are not in it."""
+    held = lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = held.groupBy("token").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots")
+    )
+    outside = (F.col("n") - F.col("most.n")).alias("n_outside")
+    sizes = sizes.filter("roots > 1").select("token", "n", F.col("most.root").alias("head"), outside)
+    return staged(sizes, "open")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
