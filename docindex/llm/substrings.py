@@ -11,7 +11,8 @@ one hash are compared word by word.
 * A minimiser that anchors very many windows (a frequent phrase, or a passage that a
   third of all rows share) would still fill one bucket. A first pass counts
   minimisers: each task keeps the frequent ones of all its rows, so that a count is
-  short by less than two ``COUNTED``-ths of all super-k-mers. Windows of those above
+  short by three ``COUNTED``-ths of all super-k-mers at most, or by less than
+  ``REPORTED`` for each task. Windows of those above
   ``HOT`` travel singly, spread by the hash of the whole window, and the task
   remembers them: a later slice ships one again only if it starts earlier than the
   one that was shipped. There are at most ``HOT_SHARE`` such minimisers, so their
@@ -48,8 +49,9 @@ BUCKET_WORDS = 1_000_000
 HOT = 20_000
 HOT_SHARE = 50_000
 # Minimisers whose counts a task keeps, and the share of its super-k-mers (one
-# COUNTED-th) below which it does not report one.
+# COUNTED-th, REPORTED at least) below which it does not report one.
 COUNTED = 200_000
+REPORTED = 4
 # Windows of hot minimisers that a task remembers; above it, it forgets them all.
 REMEMBERED = 200_000
 
@@ -134,7 +136,7 @@ class AnchorCounts:
                 continue
             runs = _starts(np.diff(w.at) != 1, np.diff(w.anchors) != 0)
             frequent.add(*np.unique(w.anchors[runs], return_counts=True))
-        often = frequent.counts * COUNTED > frequent.total
+        often = (frequent.counts * COUNTED > frequent.total) & (frequent.counts >= REPORTED)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([None, *frequent.values[often].view(np.int64).tolist()], pa.int64()),
