@@ -48,6 +48,8 @@ class IndexConfig:
     # Fold the runs into one after a commit, once the documents touched since the
     # last fold exceed this share of the index. None: only on request.
     compact_fraction: float | None = None
+    # Hash buckets of the stored tables. Fixed when a table is created.
+    buckets: int = 8
     # Key sets with a known count up to this are broadcast, larger ones shuffled.
     broadcast_rows: int = 1_000_000
     debug: bool = False
@@ -58,6 +60,8 @@ class IndexConfig:
             raise ValueError(f"reuse must be {BY_CONTENT!r} or {BY_ID!r}, got {self.reuse!r}")
         if self.max_delete_fraction is not None and not 0.0 <= self.max_delete_fraction <= 1.0:
             raise ValueError("max_delete_fraction must lie between 0 and 1")
+        if self.buckets < 1:
+            raise ValueError("buckets must be positive")
         if self.embed_batch < 1:
             raise ValueError("embed_batch must be positive")
 
