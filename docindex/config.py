@@ -29,6 +29,8 @@ class IndexConfig:
     corpus_path: str | None = None
     glob: str = DEFAULT_GLOB
     recursive: bool = False
+    # Names the extractor: files are read again when it changes.
+    reader: str = ""
     chunk_size: int = DEFAULT_CHUNK_SIZE
     chunk_overlap: int = DEFAULT_CHUNK_OVERLAP
     model: str = DEFAULT_MODEL

@@ -17,6 +17,8 @@ DELETED = "deleted"
 # good version.
 FAILED = "failed"
 KEPT = "kept"
+# Kept, and cut again from its stored text.
+RECUT = "recut"
 
 
 def new_or_changed(current: DataFrame, stored: DataFrame) -> DataFrame:
@@ -34,13 +36,16 @@ def classify_changes(current: DataFrame, stored: DataFrame) -> DataFrame:
     """``(docId, uri, status)`` for every document on either side, in one join.
 
     ``current`` has ``docId, uri, contentHash`` and may have ``readable`` (false
-    where extraction failed) and ``empty`` (true where there is no text to index:
-    a stored version goes); ``stored`` has ``docId, uri, contentHash``.
+    where extraction failed), ``empty`` (true where there is no text to index: a
+    stored version goes) and ``same`` (true where a stored document is known not to
+    have changed, whatever the hash); ``stored`` has ``docId, uri, contentHash``.
     """
     readable = F.col("readable") if "readable" in current.columns else F.lit(True)
     empty = F.col("empty") if "empty" in current.columns else F.lit(False)
+    same = F.col("same") if "same" in current.columns else F.lit(False)
     now = current.select(
         "docId",
+        same.alias("_same"),
         F.lit(True).alias("_now"),
         empty.alias("_empty"),
         F.col("uri").alias("_now_uri"),
@@ -55,7 +60,7 @@ def classify_changes(current: DataFrame, stored: DataFrame) -> DataFrame:
         .when(~F.col("_readable"), F.when(F.col("_old").isNull(), FAILED).otherwise(KEPT))
         .when(F.col("_empty"), F.when(F.col("_old").isNull(), FAILED).otherwise(DELETED))
         .when(F.col("_old").isNull(), NEW)
-        .when(F.col("_now_hash") == F.col("_old_hash"), UNCHANGED)
+        .when(F.col("_same") | (F.col("_now_hash") == F.col("_old_hash")), UNCHANGED)
         .otherwise(CHANGED)
     )
     return now.join(before, "docId", "full_outer").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from docindex.functions.text import html_to_text, normalize
 RAW_TEXT = T.StructType(
     [T.StructField("uri", T.StringType()), T.StructField("rawText", T.StringType())]
 )
+RAW_TEXT_OR_ERROR = T.StructType([*RAW_TEXT.fields, T.StructField("error", T.StringType())])
 
 
 def extract_html(pages: DataFrame, uri: str = "uri", html: str = "html") -> DataFrame:
@@ -27,8 +28,10 @@ def extract_with(
     extractor: Callable[[bytes], str],
     uri: str = "uri",
     content: str = "content",
+    reasons: bool = False,
 ) -> DataFrame:
-    """``(uri, rawText)`` through a user's ``bytes -> text`` function.
+    """``(uri, rawText)`` through a user's ``bytes -> text`` function; with ``reasons``
+    also ``error``, which says why there is no text.
 
     The function never fails a job: any exception, and any result that is not a
     string, becomes NULL, unlike the empty text of an empty document. Batches are bounded in bytes by Spark's
@@ -37,28 +40,33 @@ def extract_with(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
+            texts, errors = [], []
             for value in batch.column(1):
                 try:
-                    text = extractor(value.as_py())
-                except Exception:
-                    text = None
-                texts.append(text if isinstance(text, str) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string())], names=["uri", "rawText"]
-            )
-
+                    text, error = extractor(value.as_py()), None
+                except Exception as exc:
+                    text, error = None, f"{type(exc).__name__}: {exc}"
+                if error is None and not isinstance(text, str):
+                    text, error = None, f"{type(text).__name__} instead of a text"
+                texts.append(text)
+                errors.append(error)
+            columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns[: len(schema)], names=schema.fieldNames())
+
+    schema = RAW_TEXT_OR_ERROR if reasons else RAW_TEXT
     narrow = files.select(F.col(uri).alias("uri"), F.col(content).alias("content"))
-    return narrow.mapInArrow(run, RAW_TEXT)
+    return narrow.mapInArrow(run, schema)
 
 
-def normalize_docs(raw: DataFrame, engine: str = "jvm") -> DataFrame:
-    """``(uri, rawText)`` to ``(uri, text, docId, contentHash)``, blanks included."""
-    return raw.select("uri", normalize(F.col("rawText"), engine).alias("text")).select(
+def normalize_docs(raw: DataFrame, engine: str = "jvm", carry: Sequence[str] = ()) -> DataFrame:
+    """``(uri, rawText)`` to ``(uri, text, docId, contentHash)``, blanks included, and
+    the columns ``carry`` as they are."""
+    return raw.select("uri", normalize(F.col("rawText"), engine).alias("text"), *carry).select(
         "uri",
         "text",
         doc_id(F.col("uri")).alias("docId"),
         sha256_hex(F.col("text")).alias("contentHash"),
+        *carry,
     )
 
 

@@ -64,6 +64,25 @@ RETRIEVAL_INDEX = T.StructType(
     ]
 )
 
+# Files a run has read, as they were listed; ``reader`` says by which extractor.
+FILES = T.StructType(
+    [
+        T.StructField("docId", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("reader", T.StringType()),
+    ]
+)
+
+# Documents a run could not read, and why.
+FAILURES = T.StructType(
+    [
+        T.StructField("docId", T.StringType()),
+        T.StructField("uri", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
 # Documents a run touched, one row each.
 CHANGES = T.StructType(
     [
@@ -101,13 +120,25 @@ RUNS = T.StructType(
         T.StructField("embedSeconds", T.DoubleType()),
         T.StructField("chunksPerSecond", T.DoubleType()),
         T.StructField("totalSeconds", T.DoubleType()),
+        T.StructField("filesRead", T.LongType()),
+        T.StructField("stepSeconds", T.MapType(T.StringType(), T.DoubleType())),
+        # Where the run's rows lie: the name of its folders, the tables it wrote, and
+        # the columns these have besides their own, as DDL.
+        T.StructField("attempt", T.StringType()),
+        T.StructField("tables", T.ArrayType(T.StringType())),
+        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )
 
 
-def conform(df, schema: T.StructType):
-    """Bring ``df`` to the columns and types of ``schema``, or fail on analysis."""
+def conform(df, schema: T.StructType, keep_extra: bool = False):
+    """Bring ``df`` to the columns and types of ``schema``, or fail on analysis. With
+    ``keep_extra``, other columns follow as they are."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    extra = [c for c in df.columns if c not in schema.fieldNames()] if keep_extra else []
+    return df.select(
+        *[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *[df[f"`{c}`"] for c in extra]
+    )
