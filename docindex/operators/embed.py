@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docindex.config import BY_CONTENT, BY_ID
+from docindex.operators.sizes import BROADCAST_ROWS
+from docindex.operators.tables import keep_keys
 from docindex.schemas import ATTEMPTS, EMBEDDINGS
+from docindex.sources.scratch import written
 
 # Takes texts and the model's name, gives one vector per text, in order.
 Embedder = Callable[[Sequence[str], str], Sequence[Sequence[float] | None]]
@@ -43,6 +46,24 @@ def backlog(
     return chunks.join(done, keys, "left_anti")
 
 
+def backlog_by_keys(
+    chunks: DataFrame,
+    embeddings: DataFrame,
+    model: str,
+    version: str,
+    reuse: str = BY_CONTENT,
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The same for stored chunks, whose text is not shuffled: keys alone are joined,
+    and what is missing is written and fetched by a semi join. NULL keys have no
+    vector and stay."""
+    keys = {BY_ID: ["chunkId"], BY_CONTENT: ["chunkId", "chunkContentHash"]}[reuse]
+    missing = written(backlog(chunks.select(*keys), embeddings, model, version, reuse), "backlog")
+    n = missing.count()
+    nameless = F.col("chunkId").isNull() | F.col(keys[-1]).isNull()
+    return keep_keys(chunks, missing, keys, n, limit).unionByName(chunks.filter(nameless))
+
+
 def embed_chunks(
     chunks: DataFrame,
     embedder: Embedder,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docindex.operators.sizes import BROADCAST_ROWS, small_side
+from docindex.sources.scratch import written
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,6 +38,7 @@ def merge_upsert(
     insert: Mapping[str, Column] | None = None,
     source_rows: int | None = None,
     unique_source: bool = False,
+    compare: list[str] | None = None,
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """MERGE: update the matched rows of ``target``, insert the unmatched ones.
@@ -51,7 +53,16 @@ def merge_upsert(
     broadcast to part the target's matched rows from the others: only the matched
     ones are joined, the others are read and passed on without a shuffle.
     Otherwise one full outer join does it.
+
+    ``compare`` names the columns that ``update_when`` reads. With it, and whole rows
+    from the source, the merge takes two phases: a join of keys and these columns
+    alone finds what to do, and is written; one pass over each side then takes the
+    rows by its few keys. No other column is shuffled.
     """
+    if compare is not None:
+        if update is not None or insert is not None or update_when is None:
+            raise ValueError("compare goes with update_when and whole rows")
+        return _merge_by_keys(target, source, keys, update_when, compare, unique_source, limit)
     # The rows are checked where they enter the result, their keys need not be.
     rows = source if unique_source else require_unique(source, keys)
     if update is None and update_when is None and insert is None:
@@ -64,6 +75,31 @@ def merge_upsert(
     return _outer_merge(target, rows, keys, update, update_when, insert)
 
 
+def _merge_by_keys(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update_when: Column,
+    compare: list[str],
+    unique_source: bool,
+    limit: int,
+) -> DataFrame:
+    names = list(dict.fromkeys([*keys, *compare]))
+    narrow = source.select(*names)
+    left = (narrow if unique_source else require_unique(narrow, keys)).alias("source")
+    right = target.select(*names).withColumn("_present", F.lit(True)).alias("target")
+    on = [F.col(f"source.{k}") == F.col(f"target.{k}") for k in keys]
+    acts = F.col("target._present").isNull() | F.coalesce(update_when, F.lit(False))
+    changed = left.join(right, on, "left").filter(acts).select(*[F.col(f"source.{k}").alias(k) for k in keys])
+    changed = written(changed, "merge-keys")
+    n = changed.count()
+    nameless = F.lit(False)
+    for k in keys:  # match nothing, not even themselves
+        nameless = nameless | F.col(k).isNull()
+    fresh = keep_keys(source, changed, keys, n, limit).unionByName(source.filter(nameless))
+    return delete_keys(target, changed, keys, n, limit).unionByName(fresh.select(*target.columns))
+
+
 def _outer_merge(
     target: DataFrame,
     source: DataFrame,

@@ -290,6 +290,31 @@ SELECT total AS totalDocs, n_new AS newDocs, n_changed AS changedDocs, n_deleted
        (SELECT count(*) FROM backlog) AS chunksEmbedded
 FROM ({_COUNTS})""",
     ),
+    "stored_merge_docs": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
+    "stored_merge_embeddings": _with(
+        "prev_vectors touched touched_chunks gone",
+        f"""
+SELECT * FROM (SELECT chunkId, docId, chunkContentHash, vector, embedder, embedderVersion FROM prev_vectors
+  UNION ALL SELECT * FROM ({_vectors("touched_chunks", "2")}))
+WHERE docId NOT IN (SELECT docId FROM gone)""",
+    ),
+    "stored_added_column": _with(
+        "cur prev touched",
+        """
+SELECT docId, contentHash, CAST(NULL AS INTEGER) AS nChars FROM prev
+WHERE docId NOT IN (SELECT docId FROM touched)
+UNION ALL SELECT docId, contentHash, CAST(length(text) AS INTEGER) FROM touched""",
+    ),
+    "merge_all_docs_narrow": _with(
+        "cur prev touched",
+        """
+SELECT docId, uri, contentHash FROM prev WHERE docId NOT IN (SELECT docId FROM touched)
+UNION ALL SELECT docId, uri, contentHash FROM touched
+UNION ALL SELECT NULL, uri, contentHash FROM cur WHERE contentHash < '1'""",
+    ),
+    "incremental_files": "SELECT sha256(html) AS hash, CAST(0 AS BIGINT) AS filesReadAgain FROM pages",
+    "extract_errors": """
+SELECT url AS uri, 'ValueError: French' AS error FROM pages WHERE contains(html, 'lang="fr"')""",
     "binary_scan": "SELECT url, sha256(html) AS html_sha256 FROM pages",
     "store_bootstrap": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
     "incremental_index": _REBUILT_INDEX,

@@ -30,7 +30,7 @@ from docindex.operators.embed import (
 from docindex.operators.index import retrieval_index
 from docindex.operators.metrics import change_counts, document_metrics
 from docindex.operators.tables import cascade_delete, keep_keys, merge_upsert, replace_groups
-from docindex.plans.increment import run_increment
+from docindex.plans.increment import index_directory, run_increment
 from docindex.plans.scenario import (
     MODEL,
     NEXT_VERSION,
@@ -40,6 +40,7 @@ from docindex.plans.scenario import (
     stub_embeddings,
     vector_codes,
 )
+from docindex.sources.bucket_table import BucketTable
 from docindex.sources.files import scan_binary
 from docindex.sources.scratch import scratch_path
 from docindex.sources.store import IndexStore
@@ -203,7 +204,7 @@ def merge_all_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the whole corpus: equal hashes are left alone."""
     s = Scenario(spark, sf_dir, staged=True)
     differs = F.col("target.contentHash") != F.col("source.contentHash")
-    return merge_upsert(s.previous, s.current, ["docId"], update_when=differs)
+    return merge_upsert(s.previous, s.current, ["docId"], update_when=differs, compare=["contentHash"])
 
 
 @query("merge_chunks")
@@ -249,6 +250,59 @@ def purge_orphan_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("chunkId", "chunkContentHash", "embedderVersion")
 
 
+# -- stored tables -----------------------------------------------------------
+
+
+@query("stored_merge_docs")
+def stored_merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table brought up to date in place: documents that differ or are new
+    are merged, those that are gone deleted."""
+    s = Scenario(spark, sf_dir, staged=True)
+    table = BucketTable(spark, scratch_path(spark, "table"), "docId")
+    table.overwrite(s.previous)
+    differs = F.col("target.contentHash") != F.col("source.contentHash")
+    table.merge(s.current, ["docId"], update_when=differs)
+    table.delete(s.deleted_keys, ["docId"])
+    return table.read()
+
+
+@query("stored_merge_embeddings")
+def stored_merge_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a second version merged by a composite key into a table bucketed by
+    chunk; then those of deleted documents removed by a column that is not the
+    bucket's."""
+    s = Scenario(spark, sf_dir, staged=True)
+    table = BucketTable(spark, scratch_path(spark, "table"), "chunkId")
+    table.overwrite(s.previous_embeddings)
+    keys = ["chunkId", "embedder", "embedderVersion"]
+    table.merge(stub_embeddings(s.changed_chunks, NEXT_VERSION), keys, unique_source=True)
+    table.delete(s.deleted_keys, ["docId"])
+    return _with_codes(table.read())
+
+
+@query("stored_added_column")
+def stored_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge whose source has a column the table lacks: NULL in all other rows."""
+    s = Scenario(spark, sf_dir, staged=True)
+    table = BucketTable(spark, scratch_path(spark, "table"), "docId")
+    table.overwrite(s.previous)
+    table.merge(s.changed.withColumn("nChars", F.length("text")), ["docId"])
+    return table.read().select("docId", "contentHash", "nChars")
+
+
+@query("merge_all_docs_narrow")
+def merge_all_docs_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of the whole corpus by keys and hashes, over a source with NULL keys:
+    they match nothing and are inserted."""
+    s = Scenario(spark, sf_dir, staged=True)
+    nobody = s.current.filter(F.col("contentHash") < "1").withColumn("docId", F.lit(None).cast("string"))
+    differs = F.col("target.contentHash") != F.col("source.contentHash")
+    merged = merge_upsert(
+        s.previous, s.current.unionByName(nobody), ["docId"], update_when=differs, compare=["contentHash"]
+    )
+    return merged.select("docId", "uri", "contentHash")
+
+
 # -- vectors ---------------------------------------------------------------
 
 
@@ -278,8 +332,10 @@ def embed_backlog_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("embed_backlog_version_bump")
 def embed_backlog_version_bump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Scenario(spark, sf_dir)
-    return backlog(s.chunks, s.previous_embeddings, MODEL, NEXT_VERSION).select("chunkId", "docId")
+    """No stored vector is of the new version, though the table holds two others."""
+    s = Scenario(spark, sf_dir, staged=True)
+    vectors = s.written(_two_versions(s), "embeddings")
+    return backlog(s.chunks, vectors, MODEL, "3").select("chunkId", "docId")
 
 
 @query("embed_chunks")
@@ -320,7 +376,9 @@ def _two_versions(s: Scenario) -> DataFrame:
 
 @query("embeddings_current_version")
 def embeddings_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _two_versions(Scenario(spark, sf_dir, staged=True))
+    """One of two versions that a written table holds."""
+    s = Scenario(spark, sf_dir, staged=True)
+    table = s.written(_two_versions(s), "embeddings")
     return _with_codes(of_version(table, MODEL, NEXT_VERSION))
 
 
@@ -440,6 +498,7 @@ def first_run_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty tables, then a first run: the stored documents."""
     s = Scenario(spark, sf_dir)
     cfg = _config(spark)
+    IndexStore(spark, cfg.table_path).bootstrap()
     run_increment(spark, cfg, s.corpus, HashEmbedder(STUB_DIMENSION))
     return IndexStore(spark, cfg.table_path).docs()
 
@@ -466,6 +525,36 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index_with_codes(store.retrieval_index())
 
 
+def _page_files(spark: SparkSession, s: Scenario, name: str, pages: DataFrame) -> str:
+    """Pages written as files, a few hundred in each."""
+    folder = scratch_path(spark, name)
+    rows = pages.select("url", F.sha2("html", 256).alias("hash")).orderBy("url")
+    rows.write.option("maxRecordsPerFile", 200).json(f"{folder}/json")
+    return folder
+
+
+@query("incremental_files")
+def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same files: the first reads all, the second none. One row for
+    each line of the files, from the stored documents."""
+    s = Scenario(spark, sf_dir)
+    folder = _page_files(spark, s, "files", s.table("pages"))
+    cfg = _config(spark, corpus_path=folder, glob="*.json", recursive=True)
+    for _ in range(2):
+        report = index_directory(spark, cfg, HashEmbedder(STUB_DIMENSION), utf8_text)
+    lines = IndexStore(spark, cfg.table_path).docs().select(F.explode(F.regexp_extract_all("text", F.lit('"hash":"([0-9a-f]+)"'))).alias("hash"))
+    return lines.select("hash", F.lit(report.files_read).cast("bigint").alias("filesReadAgain"))
+
+
+@query("extract_errors")
+def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose extraction fails, with the reason."""
+    pages = Scenario(spark, sf_dir).table("pages")
+    files = pages.select("url", F.encode("html", "UTF-8").alias("content"))
+    raw = extract_with(files, StrictText(), uri="url", reasons=True)
+    return raw.filter("error IS NOT NULL").select("uri", "error")
+
+
 @query("run_history")
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The committed runs: a first one, an incremental one, and no third for an
