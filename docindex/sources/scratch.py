@@ -10,11 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the session names in ``spark.checkpoint.dir``.
 
-    A session without the setting uses its warehouse, which all executors share
-    too.
+    A session on one machine may do without the setting and uses its warehouse. On a
+    cluster that could be a folder of the driver alone, so the setting is required.
+    Nothing written here is removed by this package: whoever names the folder empties
+    it when no query over it is left.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/docindex-{name}-{uuid.uuid4().hex}"
 
