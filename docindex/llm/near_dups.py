@@ -360,6 +360,7 @@ def near_duplicates(
         F.min(F.struct("doc", "text_key")).alias("at"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature"),
+        F.count(F.lit(1)).alias("copies"),
     )
     nodes = staged(nodes, "nodes")
     posted = staged(postings(nodes, matches), "postings")
@@ -376,15 +377,20 @@ def near_duplicates(
         sets = sets.dropDuplicates(["node"])
 
     roots = link_components(posted, Join(nodes, sets, matches, num, den))
-    placed = nodes.select("node", "first_doc").join(roots, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    smallest = placed.filter("root is not null").groupBy("component").agg(F.min("first_doc").alias("low"))
-    smallest = placed.join(smallest, "component", "left").select(
-        "node", "component", F.when(F.col("root").isNull(), F.col("first_doc")).otherwise(F.col("low")).alias("component_id")
-    )
-    return rows.select("doc", "text_key", "node", "n_shingles").join(smallest, "node", "left").select(
-        "doc",
-        "text_key",
-        "n_shingles",
-        "component",
-        F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"),
+    placed = nodes.select("node", "first_doc", "copies").join(roots, "node", "left")
+    placed = staged(placed.withColumn("component", F.coalesce("root", "node")), "components")
+    smallest = placed.filter("root is not null").groupBy("component").agg(
+        F.min("first_doc").alias("component_id"), F.count(F.lit(1)).alias("n")
     )
+    smallest = staged(smallest, "smallest")
+    total = smallest.agg(F.sum("n")).first()[0] or 0
+    columns = ["node", "component", "component_id", "copies"]
+    linked = join_uneven(placed.filter("root is not null"), smallest, "component", "n", total).select(*columns)
+    alone = placed.filter("root is null").withColumnRenamed("first_doc", "component_id").select(*columns)
+    found = linked.unionByName(alone)
+    rows = rows.select("doc", "text_key", "node", "n_shingles")
+    n_rows = nodes.agg(F.sum("copies")).first()[0] or 0
+    columns = ["doc", "text_key", "n_shingles", "component", "component_id"]
+    with_words = join_uneven(rows.filter("node is not null"), found, "node", "copies", n_rows).select(*columns)
+    no_words = rows.filter("node is null").withColumn("component", F.lit(None).cast("binary"))
+    return with_words.unionByName(no_words.withColumn("component_id", F.col("doc")).select(*columns))
