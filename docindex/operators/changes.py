@@ -19,6 +19,8 @@ FAILED = "failed"
 KEPT = "kept"
 # Kept, and cut again from its stored text.
 RECUT = "recut"
+# Not touched itself, but its missing vectors are there now.
+COMPLETED = "completed"
 
 
 def new_or_changed(current: DataFrame, stored: DataFrame) -> DataFrame:

@@ -319,6 +319,23 @@ SELECT url AS uri, 'ValueError: French' AS error FROM pages WHERE contains(html,
     "store_bootstrap": _with("cur", "SELECT uri, text, docId, contentHash FROM cur"),
     "incremental_index": _REBUILT_INDEX,
     "incremental_embeddings": _with("cur_vectors", "SELECT * FROM cur_vectors"),
+    "incremental_outage": _with(
+        "cur prev cur_chunks prev_chunks cur_vectors prev_vectors backlog status",
+        f"""
+SELECT {_INDEX_COLUMNS}
+FROM cur d JOIN cur_chunks c ON c.docId = d.docId JOIN cur_vectors v ON v.chunkId = c.chunkId
+WHERE d.docId NOT IN (SELECT docId FROM lost)
+  AND c.chunkId NOT IN (SELECT chunkId FROM backlog WHERE chunkContentHash LIKE '0%')
+UNION ALL
+SELECT {_INDEX_COLUMNS}
+FROM prev d JOIN prev_chunks c ON c.docId = d.docId JOIN prev_vectors v ON v.chunkId = c.chunkId
+WHERE d.docId IN (SELECT docId FROM lost)""".replace(
+            "(SELECT docId FROM lost)",
+            """(
+  SELECT b.docId FROM backlog b JOIN status s ON s.docId = b.docId
+  WHERE s.status = 'changed' AND b.chunkContentHash LIKE '0%')""",
+        ),
+    ),
     "publish_roundtrip": _REBUILT_INDEX,
     "run_history": _with(
         "prev prev_chunks status touched_chunks backlog",

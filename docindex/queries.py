@@ -517,6 +517,26 @@ def incremental_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_codes(store.embeddings())
 
 
+class NoVectorForSome:
+    """Gives no vector for a text whose hash starts with 0."""
+
+    def __call__(self, texts: Sequence[str], model: str) -> list[list[float]]:
+        vectors = HashEmbedder(STUB_DIMENSION)(texts, model)
+        return [[] if hashlib.sha256(t.encode("utf-8")).hexdigest().startswith("0") else v for t, v in zip(texts, vectors)]
+
+
+@query("incremental_outage")
+def incremental_outage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index after a run in which some chunks got no vector: edited documents with
+    such a chunk are served as they were before."""
+    s = Scenario(spark, sf_dir)
+    cfg = _config(spark)
+    earlier = s.previous.select("uri", F.col("text").alias("rawText"))
+    run_increment(spark, cfg, earlier, HashEmbedder(STUB_DIMENSION))
+    run_increment(spark, cfg, s.corpus, NoVectorForSome())
+    return _index_with_codes(IndexStore(spark, cfg.table_path).retrieval_index())
+
+
 @query("publish_roundtrip")
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same index after its runs were folded into one."""

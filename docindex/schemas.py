@@ -89,6 +89,8 @@ CHANGES = T.StructType(
         T.StructField("docId", T.StringType()),
         T.StructField("uri", T.StringType()),
         T.StructField("status", T.StringType()),
+        # True where the index goes on serving the rows of an earlier run.
+        T.StructField("held", T.BooleanType()),
     ]
 )
 

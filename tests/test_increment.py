@@ -487,3 +487,31 @@ def test_reading_prunes_runs_and_shuffles_nothing(spark, index):
     plan = live._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert "embedding" not in plan.split("ReadSchema", 1)[1].split("\n", 1)[0]
+
+
+def test_an_edited_document_is_served_as_before_until_it_is_complete(spark, index):
+    index.run(BASE)
+    edited = {**BASE, "u/a": "alpha beta broken delta epsilon", "u/b": "edited", "u/n": "new and broken text"}
+    report = index.run(edited, Refusing("broken", "roken", "brok"))
+    assert report.committed and report.chunks_failed > 0
+    served = {}
+    for row in index.rows():
+        served.setdefault(row[1], []).append(row)
+    assert served["u/a"] == [r for r in full_build(BASE) if r[1] == "u/a"]
+    assert served["u/b"] == [r for r in full_build(edited) if r[1] == "u/b"]
+    assert 0 < len(served["u/n"]) < len([r for r in full_build(edited) if r[1] == "u/n"])
+    index.store.compact()
+    assert {r[2] for r in index.rows() if r[1] == "u/a"} == {r[2] for r in served["u/a"]}
+    report = index.run(edited)
+    assert report.chunks_failed == 0
+    index.check(edited)
+    assert not index.run(edited, NoCalls()).committed
+
+
+def test_a_held_document_that_goes_or_changes_again_is_released(spark, index):
+    index.run(BASE)
+    broken = {**BASE, "u/a": "alpha broken", "u/c": "one broken", "u/e": "other"}
+    index.run(broken, Refusing("roken", "broke", "bro"))
+    later = {u: t for u, t in broken.items() if u != "u/a"} | {"u/c": "mended"}
+    index.run(later)
+    index.check(later)
