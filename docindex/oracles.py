@@ -168,6 +168,12 @@ SELECT url AS uri, sha256(url) AS docId, sha256({_html_text("html")}) AS content
 FROM pages WHERE NOT contains(html, 'lang="fr"') AND {_html_text("html")} <> ''""",
     "normalize_text": f"SELECT doc_id, {_normalized('text')} AS text FROM documents",
     "normalize_text_arrow": f"SELECT doc_id, {_normalized('text')} AS text FROM documents",
+    "normalize_composed_text": "SELECT doc_id, "
+    + _normalized(
+        "chr(13) || chr(10) || chr(11) || replace(replace(text, 'é', 'e' || chr(769)), ' ', ' ' || chr(9))"
+        " || ' ' || chr(12) || chr(10)"
+    )
+    + " AS text FROM documents",
     "normalize_docs": _with(
         "norm",
         "SELECT uri, text, sha256(uri) AS docId, sha256(text) AS contentHash FROM norm",
@@ -258,6 +264,9 @@ GROUP BY chunkId""",
     "vector_dim_check": """
 SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim, len(embedding) = 64 AS ok
 FROM embeddings""",
+    "vector_check_failures": """
+SELECT vec_id, kind, kind = 'whole' AND len(embedding) = 64 AS ok
+FROM embeddings, (SELECT unnest(['whole', 'short', 'nan', 'missing']) AS kind)""",
     "retrieval_index_by_id": _with(
         "cur cur_chunks prev_vectors",
         f"""

@@ -113,6 +113,16 @@ def normalize_text_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", normalize(F.col("text"), "arrow").alias("text"))
 
 
+@query("normalize_composed_text")
+def normalize_composed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that need all of it: accents as characters of their own, blanks of every
+    kind at both ends and inside."""
+    text = F.replace(F.replace("text", F.lit("é"), F.lit("e\u0301")), F.lit(" "), F.lit(" \t"))
+    text = F.concat(F.lit("\r\n\x0b"), text, F.lit(" \f\n"))
+    documents = Scenario(spark, sf_dir).table("documents")
+    return documents.select("doc_id", normalize(text).alias("text"))
+
+
 @query("normalize_docs")
 def normalize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_docs(Scenario(spark, sf_dir).corpus)
@@ -396,6 +406,23 @@ def vector_dim_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("vector_check_failures")
+def vector_check_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as it is, a component short, with one that is not finite, and missing."""
+    embedding = F.col("embedding").cast("array<float>")
+    damaged = F.array(
+        F.struct(F.lit("whole").alias("kind"), embedding.alias("vector")),
+        F.struct(F.lit("short").alias("kind"), F.slice(embedding, 2, 63).alias("vector")),
+        F.struct(
+            F.lit("nan").alias("kind"),
+            F.concat(F.slice(embedding, 2, 63), F.array(F.lit(float("nan")).cast("float"))).alias("vector"),
+        ),
+        F.struct(F.lit("missing").alias("kind"), F.lit(None).cast("array<float>").alias("vector")),
+    )
+    rows = Scenario(spark, sf_dir).table("embeddings").select("vec_id", F.explode(damaged).alias("d"))
+    return rows.select("vec_id", "d.kind", is_valid_vector(F.col("d.vector"), 64).alias("ok"))
+
+
 # -- index, gate, metrics --------------------------------------------------
 
 

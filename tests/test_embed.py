@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docindex.embedders import HashEmbedder, HttpEmbedder, decode_response, encode_request
 from docindex.operators.embed import (
     backlog,
+    backlog_by_keys,
     embed_chunks,
     errors_of,
     is_valid_vector,
@@ -164,3 +165,18 @@ def test_http_embedder(monkeypatch):
 def test_hash_embedder_dimension():
     with pytest.raises(ValueError):
         HashEmbedder(17)
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_backlog_by_keys_equals_the_join_of_rows(spark, limit):
+    chunks = spark.createDataFrame(
+        [("c1", "d", "h1", "one"), ("c2", "d", "h2", "two"), ("c3", "d", "h3", "three"), ("c4", "d", None, "four")],
+        "chunkId string, docId string, chunkContentHash string, chunkText string",
+    )
+    vectors = spark.createDataFrame(
+        [("c1", "m", "1", "h1"), ("c2", "m", "1", "old"), ("c3", "m", "2", "h3")],
+        "chunkId string, embedder string, embedderVersion string, chunkContentHash string",
+    )
+    got = backlog_by_keys(chunks, vectors, "m", "1", limit=limit)
+    assert sorted(got.collect()) == sorted(backlog(chunks, vectors, "m", "1").collect())
+    assert {r.chunkId for r in got.collect()} == {"c2", "c3", "c4"}

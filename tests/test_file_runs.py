@@ -201,3 +201,12 @@ def test_one_changed_document_reads_one_bucket_of_vectors(corpus, monkeypatch):
     corpus.put(f3="text number three")
     report, _ = corpus.run()
     assert [len(b) for b in asked if b is not None] == [1] and report.chunks_reused == 1
+
+
+def test_a_run_stores_the_seconds_of_its_steps(corpus):
+    corpus.put(a="alpha text")
+    report, _ = corpus.run()
+    row = corpus.store.last_run()
+    assert set(row.stepSeconds) == {"documents", "chunk", "embed", "publish", "total"} == set(report.seconds)
+    assert 0 < row.stepSeconds["embed"] <= row.totalSeconds and row.filesRead == 1
+    assert corpus.store.runs().collect()[0].stepSeconds == row.stepSeconds

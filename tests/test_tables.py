@@ -153,3 +153,23 @@ def test_change_detection(spark):
     readable = current.filter("readable")
     assert {r.docId for r in new_or_changed(readable, stored).collect()} == {"n", "c"}
     assert {r.docId for r in deleted(readable, stored).collect()} == {"d", "k"}
+
+
+def test_a_merge_by_keys_equals_the_full_join(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z"), (None, "n", "t")], "id int, hash string, text string")
+    source = spark.createDataFrame(
+        [(1, "a", "same"), (2, "c", "edited"), (3, "d", "unknown"), (4, "e", "new"), (None, "n", "s"), (None, "n", "s2")],
+        "id int, hash string, text string",
+    )
+    differs = F.col("target.hash") != F.col("source.hash")
+    want = sorted(merge_upsert(target, source, ["id"], update_when=differs).collect(), key=repr)
+    for limit in (0, 100):
+        merged = merge_upsert(target, source, ["id"], update_when=differs, compare=["hash"], limit=limit)
+        assert sorted(merged.collect(), key=repr) == want
+    plan = merge_upsert(target, source, ["id"], update_when=differs, compare=["hash"])._jdf.queryExecution()
+    assert not any("text" in x for x in plan.executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x)
+    twice = source.unionByName(source.filter("id = 2"))
+    with pytest.raises(Exception, match="more than one source row"):
+        merge_upsert(target, twice, ["id"], update_when=differs, compare=["hash"]).collect()
+    with pytest.raises(ValueError, match="compare goes with"):
+        merge_upsert(target, source, ["id"], compare=["hash"])
