@@ -23,8 +23,10 @@ SPACE = r"[\x20\x09-\x0D]"
 # Tables of up to this many keys may be broadcast: at most some 100 MB.
 BROADCAST_KEYS = 1_000_000
 
-# Keys of an uneven join that are broadcast: those with so great a share of the rows.
+# Keys of an uneven join that are broadcast: those with one OFTEN-th of the rows, if
+# that is more than FEW.
 OFTEN = 20_000
+FEW = 500
 
 # Words a task remembers at a time; above it, it forgets them all.
 VOCABULARY = 1_000_000
@@ -48,12 +50,14 @@ def bounded(keys: DataFrame, rows: int) -> DataFrame:
 
 
 def join_uneven(rows: DataFrame, keys: DataFrame, on: str, weight: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with narrow ``keys``, one row for each value of ``on``,
-    where ``weight`` says how many of the ``total`` rows have that value. Values with
-    more than one ``OFTEN``-th of all rows, so at most ``OFTEN``, are broadcast; the
-    shuffle deals out the others, none of which fills a task."""
-    often = F.col(weight) > total // OFTEN
+    """Inner join of ``rows`` with narrow, written ``keys``, one row for each value of
+    ``on``, where ``weight`` says how many of the ``total`` rows have that value. Values
+    with more than one ``OFTEN``-th of all rows, so at most ``OFTEN``, are broadcast;
+    the shuffle deals out the others, none of which fills a task."""
+    often = F.col(weight) > max(total // OFTEN, FEW)
     hot = keys.filter(often)
+    if hot.isEmpty():
+        return rows.join(keys, on)
     even = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(keys.filter(~often), on)
     return rows.join(F.broadcast(hot), on).unionByName(even)
 

@@ -10,7 +10,7 @@ from docindex.llm.common import join_uneven, staged
 
 def _lowest(edges: DataFrame) -> DataFrame:
     """``(a, m, n)``: each node's smallest neighbour and its number of them."""
-    return edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    return staged(edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "lowest")
 
 
 def _large_star(edges: DataFrame, total: int) -> DataFrame:

@@ -387,7 +387,7 @@ def near_duplicates(
     columns = ["node", "component", "component_id", "copies"]
     linked = join_uneven(placed.filter("root is not null"), smallest, "component", "n", total).select(*columns)
     alone = placed.filter("root is null").withColumnRenamed("first_doc", "component_id").select(*columns)
-    found = linked.unionByName(alone)
+    found = staged(linked.unionByName(alone), "placed-nodes")
     rows = rows.select("doc", "text_key", "node", "n_shingles")
     n_rows = nodes.agg(F.sum("copies")).first()[0] or 0
     columns = ["doc", "text_key", "n_shingles", "component", "component_id"]
