@@ -6,7 +6,7 @@ only: no text is shuffled and no key can be hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEW = "new"
@@ -70,6 +70,6 @@ def classify_changes(current: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def rebuild_needed(new_or_changed: Column, deleted: Column, backlog: Column) -> Column:
-    """The publish gate: is there anything a reader would see?"""
+def rebuild_needed(new_or_changed, deleted, backlog):
+    """The publish gate, of columns or of numbers: is there anything a reader would see?"""
     return (new_or_changed > 0) | (deleted > 0) | (backlog > 0)
