@@ -33,7 +33,7 @@ class Corpus:
             os.utime(path, (self.clock, self.clock))
 
     def run(self, embedder=None, **settings):
-        settings = {"chunk_size": 10, "chunk_overlap": 3, **settings}
+        settings = {"chunk_size": 10, "chunk_overlap": 3, "buckets": 4, **settings}
         cfg = IndexConfig(self.path, str(self.folder).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}"), "*.txt", model="m", version="1", **settings)
         opened = self.opened
 

@@ -68,6 +68,7 @@ class Index:
             dimension=4,
             chunk_size=settings.pop("chunk_size", SIZE),
             chunk_overlap=settings.pop("chunk_overlap", OVERLAP),
+            buckets=2,
             **settings,
         )
         items = list(corpus.items()) if isinstance(corpus, dict) else corpus
