@@ -33,24 +33,29 @@ def _small_star(edges: DataFrame, total: int) -> DataFrame:
     )
 
 
+def _stars(edges: DataFrame) -> tuple[int, bool]:
+    """The number of ``edges``, and whether all are stars: no node has two edges down,
+    or one down and one from above."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("above"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("above")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("above").alias("above"))
+    total, inner = nodes.agg(F.sum("down"), F.count_if(F.col("down") + F.col("above") > F.lit(1))).first()
+    return total or 0, inner == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``; the root is the smallest
     node of the component and is listed too. Each round is written, so no round
     depends on an executor of an earlier one; rounds grow with the logarithm of
-    the longest chain.
+    the longest chain, and end when only stars are left.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = staged(edges.filter("a != b").distinct(), "links")
-    before = None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+    total, done = _stars(edges)
+    while not done:
         # The large star makes no more edges than it is given.
-        edges = staged(_small_star(_large_star(edges, mark[0]), mark[0]), "stars")
-    return (
-        edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        .unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")))
-        .distinct()
+        edges = staged(_small_star(_large_star(edges, total), total), "stars")
+        total, done = _stars(edges)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

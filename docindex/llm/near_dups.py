@@ -17,8 +17,8 @@ node whose postings are shared most (in a family of edited copies: their source,
 in all its lists). Afterwards only nodes of *different* components can still be
 missing a link, and only among the nodes of a leader that belong to several: there
 the nodes outside the largest component meet all others in blocks of ``BLOCK``, by
-one matrix product of full sets per pair of blocks, which returns one link per node
-and component. If more than ``BLOCK`` are outside, as in a family of texts that share
+one matrix product of full sets per pair of blocks, which returns one link per pair
+of components. If more than ``BLOCK`` are outside, as in a family of texts that share
 a template but are not similar enough, the leader's nodes are first posted once more,
 under the rarest shingles of their full sets: two similar sets share one of their
 first ``n - ceil(similarity * n) + 1`` in any common order, and texts that merely
@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -140,15 +139,14 @@ class ShingleSets:
 
 class Blocks:
     """Two blocks of shingle sets to the links between their components, one per
-    asking node and component."""
+    pair of roots."""
 
     def __init__(self, num: int, den: int) -> None:
         self.num, self.den = num, den
 
     def __call__(self, block: pa.Table) -> pa.Table:
         asks = block.column("asks").to_numpy()
-        nodes = np.array(block.column("node").to_pylist() + [None], object)[:-1]
-        roots = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)[1]
+        names, roots = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)
         sets = block.column("shingles").combine_chunks()
         lengths = np.diff(sets.offsets.to_numpy())
         row = np.repeat(np.arange(len(lengths)), lengths)
@@ -166,8 +164,8 @@ class Blocks:
         union = lengths[y][:, None] + lengths[x][None, :] - common
         linked = (common * self.den >= union * self.num) & (roots[y][:, None] != roots[x][None, :])
         i, j = np.nonzero(linked)
-        _, first = np.unique(np.stack([i, roots[x[j]]]), axis=1, return_index=True)
-        found = [pa.array(nodes[at].tolist(), pa.binary()) for at in (y[i[first]], x[j[first]])]
+        pairs = np.unique(np.stack([roots[y[i]], roots[x[j]]]), axis=1)
+        found = [pa.array(map(bytes.fromhex, names[at].tolist()), pa.binary()) for at in pairs]
         return pa.table(found, ["a", "b"])
 
 
@@ -222,12 +220,11 @@ def rarest(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 class Join:
-    """The links found so far, and how to confirm more pairs."""
+    """How to confirm pairs and to find the links between components."""
 
     def __init__(self, nodes: DataFrame, sets: DataFrame, matches: int, num: int, den: int) -> None:
         self.signatures = nodes.select("node", "n_shingles", "signature")
         self.sets, self.matches, self.num, self.den = sets, matches, num, den
-        self.links: list[DataFrame] = []
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """``(a, b, part, na, nb, agreeing)`` of pairs of leaders with their nodes; a
@@ -247,8 +244,8 @@ class Join:
         every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         return rows.join(self.leaders.select("a", "parts"), "a").select(*rows.columns, every)
 
-    def confirm(self, compared: DataFrame) -> None:
-        """Keep the pairs whose full sets are similar enough."""
+    def confirm(self, compared: DataFrame) -> DataFrame:
+        """``(a, b)`` of the pairs whose full sets are similar enough."""
         fits = (F.least("na", "nb") * self.den >= F.greatest("na", "nb") * self.num)
         likely = compared.filter((F.col("agreeing") >= self.matches) & fits)
         likely = staged(likely.drop("agreeing"), "likely")
@@ -259,10 +256,10 @@ class Join:
         union = F.col("na") + F.col("nb") - F.col("common")
         linked = met.select("a", "b", "na", "nb", common.alias("common"))
         linked = linked.filter(F.col("common") * self.den >= union * self.num)
-        self.links.append(staged(linked.select("a", "b"), "near-pairs"))
+        return staged(linked.select("a", "b"), "near-pairs")
 
-    def across(self, lists: DataFrame, sizes: DataFrame) -> None:
-        """Links between components among ``lists(token, node, root)``: nodes outside
+    def across(self, lists: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Links ``(a, b)`` between roots of ``lists(token, node, root)``: nodes outside
         the largest component of a list (see ``open_lists``) against all others."""
         total = sizes.agg(F.sum("n")).first()[0] or 0
         blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
@@ -290,10 +287,7 @@ class Join:
             return compare(block)
 
         found = blocks.groupBy("leader", "i", "j").applyInArrow(compare_block, "a binary, b binary")
-        self.links.append(staged(found, "near-pairs"))
-
-    def roots(self) -> DataFrame:
-        return staged(components(reduce(DataFrame.unionByName, self.links)), "roots")
+        return staged(found, "root-pairs")
 
 
 def link_components(posted: DataFrame, join: Join) -> DataFrame:
@@ -303,12 +297,11 @@ def link_components(posted: DataFrame, join: Join) -> DataFrame:
     met = join_uneven(posted, leaders, "token", "n", posted.count())
     met = staged(met.select("leader", "node").distinct(), "met")
     pairs = met.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    join.confirm(join.compared(pairs))
-    roots = join.roots()
+    roots = staged(components(join.confirm(join.compared(pairs))), "roots")
     placed = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = staged(placed.withColumnRenamed("leader", "token"), "placed")
     sizes = open_lists(placed)
-    join.across(placed, sizes.filter(F.col("n_outside") <= BLOCK))
+    found = join.across(placed, sizes.filter(F.col("n_outside") <= BLOCK))
     loose = sizes.filter(F.col("n_outside") > BLOCK)
     total = loose.agg(F.sum("n")).first()[0]
     if total:
@@ -316,8 +309,11 @@ def link_components(posted: DataFrame, join: Join) -> DataFrame:
         asked = staged(asked, "asked")
         lists = rarest(join.sets.join(asked, "node", "left_semi"), join.num, join.den)
         lists = staged(lists.join(asked, "node"), "lists")
-        join.across(lists, open_lists(lists))
-    return join.roots()
+        found = found.unionByName(join.across(lists, open_lists(lists)))
+    if found.isEmpty():
+        return roots
+    stars = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return staged(components(stars.unionByName(found)), "roots")
 
 
 def open_lists(lists: DataFrame) -> DataFrame:
