@@ -71,4 +71,4 @@ def test_stages_take_hard_and_empty_tables(spark):
 def test_every_operator_and_the_pipeline_is_registered():
     names = contract.queries()
     found = {int(m[1]) for m in (re.match(r"op(\d+)_", n) for n in names) if m}
-    assert found == set(range(1, 11)) and names["pipeline"] is pipeline.run
+    assert found == set(range(1, 14)) and names["pipeline"] is pipeline.run
