@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import uuid
 
 import pytest
 
@@ -516,3 +517,34 @@ def test_a_held_document_that_goes_or_changes_again_is_released(spark, index):
     later = {u: t for u, t in broken.items() if u != "u/a"} | {"u/c": "mended"}
     index.run(later)
     index.check(later)
+
+
+def shuffles(spark, work):
+    """Does any job that ``work`` starts read a shuffle?"""
+    sc, group = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    return any(len(tracker.getJobInfo(job).stageIds) > 1 for job in tracker.getJobIdsForGroup(group))
+
+
+def test_rows_of_large_files_are_written_where_they_lie(spark, index, monkeypatch):
+    monkeypatch.setattr(store_module, "LARGE_FILE", 0, raising=False)
+    write, shuffled = IndexStore.write, {}
+
+    def seen(self, table, df, run):
+        shuffled[run, table] = shuffles(spark, lambda: write(self, table, df, run))
+
+    monkeypatch.setattr(IndexStore, "write", seen)
+    corpus = {**BASE, "u/a": "edited", "u/n": "new"}
+    index.run(BASE)
+    index.run(corpus)
+    index.store.compact()
+    index.check(corpus)
+    wide = ("docs", "chunks", "embeddings", "retrieval_index")
+    assert {(r, t): shuffled[r, t] for r in (1, 3) for t in wide if (r, t) != (1, "retrieval_index")} == {
+        (r, t): False for r in (1, 3) for t in wide if (r, t) != (1, "retrieval_index")
+    }
