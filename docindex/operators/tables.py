@@ -84,6 +84,21 @@ def _merge_by_keys(
     unique_source: bool,
     limit: int,
 ) -> DataFrame:
+    changed, n, fresh = rows_to_merge(target, source, keys, update_when, compare, unique_source, limit)
+    return delete_keys(target, changed, keys, n, limit).unionByName(fresh.select(*target.columns))
+
+
+def rows_to_merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    update_when: Column,
+    compare: list[str],
+    unique_source: bool = False,
+    limit: int = BROADCAST_ROWS,
+) -> tuple[DataFrame, int, DataFrame]:
+    """The keys that a merge updates or inserts, their number, and the source's rows of
+    them with those of NULL keys."""
     names = list(dict.fromkeys([*keys, *compare]))
     narrow = source.select(*names)
     left = (narrow if unique_source else require_unique(narrow, keys)).alias("source")
@@ -96,8 +111,7 @@ def _merge_by_keys(
     nameless = F.lit(False)
     for k in keys:  # match nothing, not even themselves
         nameless = nameless | F.col(k).isNull()
-    fresh = keep_keys(source, changed, keys, n, limit).unionByName(source.filter(nameless))
-    return delete_keys(target, changed, keys, n, limit).unionByName(fresh.select(*target.columns))
+    return changed, n, keep_keys(source, changed, keys, n, limit).unionByName(source.filter(nameless))
 
 
 def _outer_merge(

@@ -271,7 +271,7 @@ def stored_merge_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = BucketTable(spark, scratch_path(spark, "table"), "docId")
     table.overwrite(s.previous)
     differs = F.col("target.contentHash") != F.col("source.contentHash")
-    table.merge(s.current, ["docId"], update_when=differs)
+    table.merge(s.current, ["docId"], update_when=differs, compare=["contentHash"])
     table.delete(s.deleted_keys, ["docId"])
     return table.read()
 

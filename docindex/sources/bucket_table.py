@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,14 @@ from pyspark.sql import types as T
 
 from docindex.config import IndexConfig
 from docindex.operators.sizes import BROADCAST_ROWS
-from docindex.operators.tables import delete_keys, merge_upsert
+from docindex.operators.tables import delete_keys, merge_upsert, rows_to_merge
 from docindex.sources.folder import Folder, WriteConflictError
 
 BUCKET = "bucket"
 
+# Rows that stay are written from where they lie if the files are at least this large.
+LARGE_FILE = 1 << 20
+
 
 class BucketTable:
     """One table below ``root``, bucketed by the hash of ``key``."""
@@ -78,7 +82,10 @@ class BucketTable:
 
     def files(self, version: int | None = None) -> dict[int, str]:
         """The folder that holds each bucket with rows."""
-        return {int(b): f"data/{a}/{BUCKET}={b}" for b, a in self._required(version)["buckets"].items()}
+        return self._files(self._required(version))
+
+    def _files(self, version: dict) -> dict[int, str]:
+        return {int(b): f"data/{a}/{BUCKET}={b}" for b, a in version["buckets"].items()}
 
     # -- reading ---------------------------------------------------------------
 
@@ -125,16 +132,27 @@ class BucketTable:
         insert: Mapping[str, Column] | None = None,
         evolve: bool = True,
         unique_source: bool = False,
+        compare: list[str] | None = None,
     ) -> int:
         """MERGE into the stored rows (see ``merge_upsert``). ``keys`` include the
         bucket key, so that matches lie in one bucket. With ``evolve``, columns that
-        only the source has are added; without, they are left out."""
+        only the source has are added; without, they are left out. With ``compare``, the
+        columns that ``update_when`` reads, these and the keys alone are joined, and
+        buckets without a row to update or insert stay (see ``merge_upsert``)."""
         if self.key not in keys:
             raise ValueError(f"the keys of a merge must include {self.key!r}")
         old = self._required(None)
         before = T.StructType.fromJson(old["schema"])
         schema = _united(before, source.schema) if evolve else before
         source = _padded(source, schema)
+        if compare is not None:
+            if update is not None or insert is not None or update_when is None:
+                raise ValueError("compare goes with update_when and whole rows")
+            stored = _padded(self._rows(old), schema)
+            changed, n, fresh = rows_to_merge(stored, source, keys, update_when, compare, unique_source, self.broadcast_rows)
+            touched = self.touched_buckets(fresh)
+            others = delete_keys(_padded(self._rows(old, touched), schema), changed, keys, n, self.broadcast_rows)
+            return self._replace(old, schema, touched, fresh, others, n)
         touched = self.touched_buckets(source)
         merged = merge_upsert(
             _padded(self._rows(old, touched), schema),
@@ -158,22 +176,45 @@ class BucketTable:
             found = self._rows(old).select(self.key, *on).join(keys.select(*on), on, "left_semi")
             touched = self.touched_buckets(found)
         schema = T.StructType.fromJson(old["schema"])
-        left = delete_keys(self._rows(old, touched), keys, on, limit=self.broadcast_rows)
-        return self._replace(old, schema, touched, left)
+        n = keys.count()
+        left = delete_keys(self._rows(old, touched), keys, on, n, self.broadcast_rows)
+        return self._replace(old, schema, touched, None, left, n)
 
-    def _replace(self, old: dict, schema: T.StructType, touched: list[int], rows: DataFrame) -> int:
-        attempt, written = self._write(rows, schema, old["n"])
+    def _replace(
+        self,
+        old: dict,
+        schema: T.StructType,
+        touched: list[int],
+        rows: DataFrame | None,
+        stay: DataFrame | None = None,
+        n_keys: int = 0,
+    ) -> int:
+        """New contents of the touched buckets: ``rows``, and stored rows that ``stay``. The
+        latter are not shuffled, unless the join with ``n_keys`` keys has done it already,
+        or the files are small."""
+        if stay is not None:
+            held = [f for b, f in self._files(old).items() if b in set(touched)]
+            if n_keys > self.broadcast_rows or self.folder.mean_bytes(*held) < LARGE_FILE:
+                rows, stay = stay if rows is None else stay.unionByName(_padded(rows, stay.schema)), None
+        parts = (rows, schema, old["n"]) if stay is None else (rows, schema, old["n"], stay)
+        attempt, written = self._write(*parts)
         held = {b: a for b, a in old["buckets"].items() if int(b) not in set(touched)}
         return self._commit(old, schema, old["n"], held | {str(b): attempt for b in written})
 
-    def _write(self, rows: DataFrame, schema: T.StructType, n: int) -> tuple[str, list[int]]:
+    def _write(
+        self, rows: DataFrame | None, schema: T.StructType, n: int, stay: DataFrame | None = None
+    ) -> tuple[str, list[int]]:
         """Rows into a new folder, and the buckets that have any. A bucket's rows are
-        brought together first, in as many parts as their size asks for."""
+        brought together first, in as many parts as their size asks for; rows that
+        ``stay`` in their buckets are written as they are read."""
         attempt = uuid.uuid4().hex
         fields = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
-        keyed = _padded(rows, schema).select(*fields, self._bucket(F.col(f"`{self.key}`"), n).alias(BUCKET))
+        bucket = self._bucket(F.col(f"`{self.key}`"), n).alias(BUCKET)
         path = f"{self.root}/data/{attempt}"
-        keyed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        parts = [] if stay is None else [_padded(stay, schema).select(*fields, bucket)]
+        if rows is not None:
+            parts.append(_padded(rows, schema).select(*fields, bucket).hint("rebalance", BUCKET))
+        reduce(DataFrame.unionByName, parts).write.partitionBy(BUCKET).parquet(path, compression="zstd")
         names = self.folder.names(f"data/{attempt}")
         return attempt, sorted(int(x.split("=")[1]) for x in names if x.startswith(f"{BUCKET}="))
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docindex.sources import bucket_table
 from docindex.sources.bucket_table import BucketTable
 from docindex.sources.folder import WriteConflictError
 
@@ -126,3 +127,30 @@ def test_null_keys_and_empty_tables(spark, table):
     table.merge(rows(spark, [(None, "nobody"), (1, "a")]), ["id"])
     table.merge(rows(spark, [(None, "nobody else")]), ["id"])
     assert content(table.read()) == [(1, "a"), (None, "nobody else"), (None, "nobody")]
+
+
+def test_a_merge_by_keys_leaves_unchanged_buckets_and_rows_alone(spark, table, monkeypatch):
+    monkeypatch.setattr(bucket_table, "LARGE_FILE", 0, raising=False)
+    table.overwrite(rows(spark, [(i, f"n{i}") for i in range(40)] + [(None, "nobody")]))
+    before = table.files()
+    source = rows(spark, [(i, "seven" if i == 7 else f"n{i}") for i in range(40)] + [(99, "new"), (None, "nobody else")])
+    written, write = [], BucketTable._write
+
+    def seen(self, moved, schema, n, stay=None):
+        written.append((moved and moved.count(), stay and stay.count()))
+        return write(self, moved, schema, n, stay)
+
+    monkeypatch.setattr(BucketTable, "_write", seen)
+    differs = F.col("target.name") != F.col("source.name")
+    table.merge(source, ["id"], update_when=differs, compare=["name"])
+    acting = [(7, "seven"), (99, "new"), (None, "nobody else")]
+    touched = table.touched_buckets(rows(spark, acting))
+    assert {b for b in before if before[b] != table.files()[b]} == set(touched)
+    kept = [(i, f"n{i}") for i in range(40) if i != 7] + [(None, "nobody")]
+    assert content(table.read()) == content(rows(spark, kept + acting))
+    assert written[0][0] == 3 and 0 < written[0][1] <= len(kept)
+    table.delete(rows(spark, [(7, ""), (8, "")]), ["id"])
+    assert written[1][0] is None
+    assert content(table.read()) == content(rows(spark, [r for r in kept + acting if r[0] not in (7, 8)]))
+    with pytest.raises(ValueError, match="whole rows"):
+        table.merge(source, ["id"], compare=["name"])
