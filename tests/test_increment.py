@@ -5,6 +5,7 @@ import random
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from docindex import IndexConfig, IndexStore, index_directory, run_increment
 from docindex.embedders import HashEmbedder
@@ -548,3 +549,16 @@ def test_rows_of_large_files_are_written_where_they_lie(spark, index, monkeypatc
     assert {(r, t): shuffled[r, t] for r in (1, 3) for t in wide if (r, t) != (1, "retrieval_index")} == {
         (r, t): False for r in (1, 3) for t in wide if (r, t) != (1, "retrieval_index")
     }
+
+
+def test_only_ids_of_touched_documents_are_broadcast(spark, index, monkeypatch):
+    index.run(BASE)
+    hinted, broadcast = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: hinted.append(df.columns) or broadcast(df))
+    corpus = {**BASE, "u/a": "#lpha beta gamma delta epsilon", "u/b": "edited", "u/n": "new"}
+    report = index.run(corpus, Refusing("edited"))
+    assert report.chunks_reused and report.chunks_failed == 1
+    assert hinted and all({c.lower() for c in columns} <= {"docid", "_wanted", "_doc", "_touched"} for columns in hinted)
+    monkeypatch.undo()
+    index.run(corpus)
+    index.check(corpus)
