@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from docindex.functions.ids import doc_id, sha256_hex
 from docindex.functions.text import html_to_text, normalize
 
+# Fixed value: characters of text that an extracting task gathers before it hands them on.
+PART_BYTES = 1 << 20
+
 RAW_TEXT = T.StructType(
     [T.StructField("uri", T.StringType()), T.StructField("rawText", T.StringType())]
 )
@@ -35,13 +38,14 @@ def extract_with(
 
     The function never fails a job: any exception, and any result that is not a
     string, becomes NULL, unlike the empty text of an empty document. Batches are bounded in bytes by Spark's
-    ``spark.sql.execution.arrow.maxBytesPerBatch``.
+    ``spark.sql.execution.arrow.maxBytesPerBatch``, and handed back in parts of about
+    ``PART_BYTES``, so that a task holds few texts besides the batch itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, errors = [], []
-            for value in batch.column(1):
+            start, texts, errors, held = 0, [], [], 0
+            for i, value in enumerate(batch.column(1)):
                 try:
                     text, error = extractor(value.as_py()), None
                 except Exception as exc:
@@ -50,8 +54,12 @@ def extract_with(
                     text, error = None, f"{type(text).__name__} instead of a text"
                 texts.append(text)
                 errors.append(error)
-            columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns[: len(schema)], names=schema.fieldNames())
+                held += len(text or "")
+                if held >= PART_BYTES or i + 1 == batch.num_rows:
+                    uris = batch.column(0).slice(start, len(texts))
+                    columns = [uris, pa.array(texts, pa.string()), pa.array(errors, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns[: len(schema)], names=schema.fieldNames())
+                    start, texts, errors, held = i + 1, [], [], 0
 
     schema = RAW_TEXT_OR_ERROR if reasons else RAW_TEXT
     narrow = files.select(F.col(uri).alias("uri"), F.col(content).alias("content"))

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from docindex.extractors import utf8_text
@@ -53,3 +54,21 @@ def test_scratch_lies_in_the_checkpoint_folder(spark):
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two
     assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_extracted_texts_are_handed_on_in_parts(spark):
+    """A task gathers few texts, however many rows a batch has."""
+
+    class Files:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            values = [b"x" * 1000 if i % 7 else None for i in range(5000)]
+            return list(run(iter([pa.RecordBatch.from_pydict({"uri": [f"u{i}" for i in range(5000)], "content": values})])))
+
+    parts = extract_with(Files(), utf8_text, reasons=True)
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [r["uri"] for r in rows] == [f"u{i}" for i in range(5000)]
+    assert all((r["error"] is None) == bool(i % 7) == (r["rawText"] == "x" * 1000) for i, r in enumerate(rows))
+    assert len(parts) > 3 and max(p.nbytes for p in parts) < 2_000_000
