@@ -8,7 +8,9 @@ Long documents enter as several *lanes* that start at fixed byte offsets, since
 ends in one range of bytes do not depend on any other range; so the number of steps
 is bounded by the tokens of a lane, not of the longest document.
 
-1. Texts are tokenised and aligned where they lie; ids and cuts are written.
+1. Texts are tokenised and aligned where they lie; ids and cuts are written. Both
+   tokenizers see each unit between two safe cuts once; a worker remembers the units
+   it meets most often, a bounded number, and drops them before the later stages.
 2. How often each id pair is linked is counted over the whole corpus, combined in the
    tasks first; the highest count of each B id is taken from that table.
 3. The written rows look their links up. Pairs with a share of all links above
@@ -32,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docindex.llm.common import Batches, per_process, slices, staged, text_key, utf8
+from docindex.llm.common import Batches, one_thread, per_process, release, slices, staged, text_key, utf8
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 LANE = 256  # bytes
 REMEMBERED = 200_000  # units
-TOGETHER = 1 << 14  # units encoded by one call
+TOGETHER = 1 << 12  # units encoded by one call
+JOINED = 64  # units in one text of such a call
+SLICE = 1 << 20  # bytes of texts or ids handled at once
 COMMON = 1_000_000
 COUNTED = 1_000_000  # pairs a task counts before it hands them on
 
@@ -46,6 +50,12 @@ COUNTED = 1_000_000  # pairs a task counts before it hands them on
 # A binds such a space to what follows, B has no piece with a space inside.
 _UNIT = re.compile(r"(?<=\S)(?= \S)")
 
+# A also cuts between these letters or digits and these marks, and so does B with
+# those marks that no piece has behind one. A unit that begins with a mark is
+# encoded behind JOINT, whose ids are dropped.
+_LETTER, _MARKS = "A-Za-z0-9À-ÖØ-öø-ÿ", ".,;:!?"
+JOINT = " a"
+
 
 def _byte_values() -> dict[str, int]:
     """Byte of each character of a byte-level vocabulary: visible bytes stand for
@@ -59,7 +69,7 @@ class Pair:
     """Two tokenizers; the ids of units of text, remembered."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        self.a = Tokenizer.from_file(a_path)
+        self.a = one_thread(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         values = _byte_values()
@@ -80,34 +90,100 @@ class Pair:
                 raise ValueError(f"{b_path}: the piece {piece!r} reaches across a word")
         self._entries = pa.array(self.a_bytes, pa.binary()), pa.array(self.b_bytes, pa.binary())
         self.a_lengths, self.b_lengths = (pc.binary_length(x).to_numpy().astype(np.int64) for x in self._entries)
+        pieces = "\n".join(map(self.b.id_to_piece, range(self.b_size)))
+        marks = "".join(sorted(set(_MARKS) - set(re.findall(rf"(?<=[{_LETTER}])[{_MARKS}]", pieces))))
+        self._cut = re.compile(rf"[{marks}](?<=[{_LETTER}].)") if marks else None
+        self._joint = [len(self._lists(side, [JOINT])[0]) for side in (0, 1)]
         self._forget()
 
     def _forget(self) -> None:
+        # A unit's key: its text after NUL, or just the word if it is a space and a word.
         self._number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-        # Of A and of B: the ids of all units, and where each unit's begin.
+        # Of A and of B: the ids of all units, and where each unit's begin and how many
+        # they are.
         self._ids = [np.zeros(0, np.uint32) for _ in "ab"]
-        self._begin = [np.zeros(1, np.int64) for _ in "ab"]
-        self._same = np.zeros(0, bool)
+        self._begin = [np.zeros(0, np.int64) for _ in "ab"]
+        self._size = [np.zeros(0, np.int64) for _ in "ab"]
+        # Whether the bytes of a unit's ids are the unit's; whether white space at its
+        # ends forbids to cut there; how often it was met.
+        self._same, self._odd = np.zeros(0, bool), np.zeros(0, bool)
+        self._met = np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep the units met most often and more than once, at most a half."""
+        if len(self._met) < 2:
+            return self._forget()
+        least = max(1, int(np.partition(self._met, -(len(self._met) // 2))[-(len(self._met) // 2)]))
+        kept = np.flatnonzero(self._met > least)
+        keys = list(self._number)
+        ids, sizes = zip(*(self._of_units(side, kept) for side in (0, 1)))
+        same, odd = self._same[kept], self._odd[kept]
+        self._forget()
+        for i in kept.tolist():
+            self._number[keys[i]]
+        self._ids, self._size = [x.astype(np.uint32) for x in ids], list(sizes)
+        self._begin = [np.cumsum(n) - n for n in sizes]
+        self._same, self._odd, self._met = same, odd, np.zeros(len(kept), np.int64)
 
     def _learn(self) -> None:
-        """Encode the units numbered since the last call; each begins with a space."""
-        units = list(itertools.islice(self._number, len(self._same), None))
-        for at in range(0, len(units), TOGETHER):
-            part = units[at : at + TOGETHER]
-            encoded = (
-                [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)],
-                self.b.encode([u[1:] for u in part], num_threads=1),
-            )
-            raw = [u.encode() for u in part]
+        """Encode the units numbered since the last call."""
+        keys = list(itertools.islice(self._number, len(self._same), None))
+        if not keys:
+            return
+        texts, odd, jointed = [], np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        for i, key in enumerate(keys):
+            if key[:2] == "\0 ":
+                texts.append(key[1:])
+            elif not key or key != key.strip():
+                texts.append("")
+                odd[i] = True
+            elif key[0] == "\0":
+                texts.append(JOINT + key[1:])
+                jointed[i] = True
+            else:
+                texts.append(" " + key)
+        self._odd = np.concatenate([self._odd, odd])
+        self._met = np.concatenate([self._met, np.zeros(len(keys), np.int64)])
+        for at in range(0, len(texts), TOGETHER):
+            part, skipped = texts[at : at + TOGETHER], jointed[at : at + TOGETHER]
+            raw = [t.encode() for t in part]
             same = np.ones(len(part), bool)
-            for side, lists in enumerate(encoded):
-                ids = np.fromiter(itertools.chain.from_iterable(lists), np.uint32)
-                begin = np.cumsum([0, *map(len, lists)])
-                same &= self._comes_back(side, raw, ids, begin)
-                self._begin[side] = np.concatenate([self._begin[side], len(self._ids[side]) + begin[1:]])
+            for side in (0, 1):
+                ids, begin, own = self._encoded(side, part, raw)
+                same &= own
+                skip = np.where(skipped, self._joint[side], 0)
+                self._begin[side] = np.concatenate([self._begin[side], len(self._ids[side]) + begin[:-1] + skip])
+                self._size[side] = np.concatenate([self._size[side], np.diff(begin) - skip])
                 self._ids[side] = np.concatenate([self._ids[side], ids])
             self._same = np.concatenate([self._same, same])
 
+    def _lists(self, side: int, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with a space, which B adds itself."""
+        if side == 0:
+            return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def _encoded(self, side: int, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of texts one after another, where each one's begin, with the end of
+        the last, and whether their bytes are the text's."""
+        stops = np.cumsum([0, *map(len, raw)])
+        if not any(t[-1:].isspace() for t in texts):
+            # Both cut between such texts, so they are encoded joined.
+            groups = ["".join(texts[at : at + JOINED]) for at in range(0, len(texts), JOINED)]
+            lists = self._lists(side, [g for g in groups if g])
+            ids = np.fromiter(itertools.chain.from_iterable(lists), np.uint32)
+            ends = np.cumsum([0, *(self.a_lengths, self.b_lengths)[side][ids]])
+            begin = np.searchsorted(ends, stops)
+            if ends[-1] == stops[-1] and (ends[begin] == stops).all():
+                joined = self._entries[side].take(pa.array(ids)).buffers()[2]
+                if joined is not None and joined.to_pybytes()[: ends[-1]] == b"".join(raw):
+                    return ids, begin, np.ones(len(raw), bool)
+        lists = iter(self._lists(side, [t for t in texts if t]))
+        lists = [next(lists) if t else [] for t in texts]
+        ids = np.fromiter(itertools.chain.from_iterable(lists), np.uint32)
+        begin = np.cumsum([0, *map(len, lists)])
+        return ids, begin, self._comes_back(side, raw, ids, begin)
+
     def _comes_back(self, side: int, raw: list[bytes], ids: np.ndarray, begin: np.ndarray) -> np.ndarray:
         """Whether the bytes of each unit's ids are the unit's."""
         entries = self._entries[side]
@@ -123,23 +199,43 @@ class Pair:
 
     def _of_units(self, side: int, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of units one after another, and how many each has."""
-        begin = self._begin[side][units]
-        sizes = self._begin[side][units + 1] - begin
+        begin, sizes = self._begin[side][units], self._size[side][units]
         at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
         return self._ids[side][at].astype(np.int64), sizes
 
+    def _keys(self, text: str) -> list[str]:
+        """Keys of the units of a text; white space beside white space or at an end of
+        the text shows in a key."""
+        if "\0" in text:
+            return self._plain_keys(text)
+        return (self._cut.sub(r" \0\g<0>", text) if self._cut else text).split(" ")
+
+    @staticmethod
+    def _plain_keys(text: str) -> list[str]:
+        return ["\0" + unit for unit in _UNIT.split(" " + text)]
+
+    @staticmethod
+    def _laid_out(docs: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        units = np.fromiter(itertools.chain.from_iterable(docs), np.int64)
+        return units, np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and of B of all texts, one after another, and both numbers of ids
         of each. NULL and empty texts, and those whose bytes do not come back, have
         none."""
         if len(self._same) > REMEMBERED:
-            self._forget()
-        number, docs = self._number.__getitem__, []
-        for raw in texts:
-            docs.append(list(map(number, _UNIT.split(" " + raw.decode()))) if raw else [])
+            self._forget_rare()
+        number = self._number.__getitem__
+        docs = [list(map(number, self._keys(raw.decode()))) if raw else [] for raw in texts]
         self._learn()
-        units = np.fromiter(itertools.chain.from_iterable(docs), np.int64)
-        owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        units, owner = self._laid_out(docs)
+        odd = np.unique(owner[self._odd[units]]).tolist()
+        if odd:
+            for i in odd:
+                docs[i] = list(map(number, self._plain_keys(texts[i].decode())))
+            self._learn()
+            units, owner = self._laid_out(docs)
+        self._met += np.bincount(units, minlength=len(self._met))
         # A unit that does not come back leaves its whole document without tokens.
         good = np.bincount(owner[~self._same[units]], minlength=len(docs)) == 0
         units, owner = units[good[owner]], owner[good[owner]]
@@ -206,7 +302,7 @@ class Align:
     def __call__(self, batches: Batches) -> Batches:
         pair = per_process(f"pair {self.paths}", lambda: Pair(*self.paths))
         part, seen = TaskContext.get().partitionId(), 0
-        for batch in (part for whole in batches for part in slices(whole, 2 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, SLICE)):
             a, b, n_a, n_b = pair.encode(list(utf8(batch.column("text"))))
             a_ends, b_ends = np.cumsum(pair.a_lengths[a]), np.cumsum(pair.b_lengths[b])
             ends = np.concatenate([[0], a_ends])[np.concatenate([[0], np.cumsum(n_a)])]
@@ -253,6 +349,7 @@ class CountPairs:
         self.sizes = a_size, b_size
 
     def __call__(self, batches: Batches) -> Batches:
+        release("pair ")
         pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in (part for whole in batches for part in _limited(whole)):
             new, counts = np.unique(Stored(batch, *self.sizes).pairs, return_counts=True)
@@ -265,7 +362,7 @@ class CountPairs:
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
 
-def _limited(batch: pa.RecordBatch, limit: int = 2 << 20):
+def _limited(batch: pa.RecordBatch, limit: int = SLICE):
     """A batch in parts of about ``limit`` bytes of ids, or one row."""
     sizes = np.cumsum(pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False))
     at = 0
@@ -308,6 +405,7 @@ class Digest:
         return pc.fill_null(pc.binary_join(words, ""), "") if docs else pa.array([], pa.string())
 
     def __call__(self, batches: Batches) -> Batches:
+        release("pair ")
         known, n, best = self.counts.value
         for batch in (part for whole in batches for part in _limited(whole)):
             at = Stored(batch, *self.sizes)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import sys
 import types
 from collections import defaultdict
@@ -14,6 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from docindex.sources.scratch import scratch_path
 
@@ -159,6 +161,13 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+def one_thread(path: str) -> Tokenizer:
+    """A tokenizer that starts no threads of its own: a task has one core, and each
+    thread would keep memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(path)
+
+
 def per_process(name: str, make: Callable[[], object]) -> object:
     """An object that a Python worker keeps for its next tasks."""
     kept = sys.modules.setdefault("_docindex_llm_kept", types.ModuleType("_docindex_llm_kept"))
@@ -167,6 +176,14 @@ def per_process(name: str, make: Callable[[], object]) -> object:
     return kept.__dict__[name]
 
 
+def release(start: str) -> None:
+    """Drop what a Python worker keeps under names that start so: tasks of a later
+    stage run in the same workers."""
+    kept = sys.modules.get("_docindex_llm_kept")
+    for name in [n for n in vars(kept) if n.startswith(start)] if kept else []:
+        delattr(kept, name)
+
+
 def slices(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts whose texts have about ``limit`` bytes, or one row."""
     lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

@@ -1,7 +1,11 @@
 """Two tokenizers' alignment against a plain walk over whole texts."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -99,6 +103,42 @@ def test_remembered_units_are_forgotten(monkeypatch):
     assert [x.tolist() for x in pair.encode([b"one two three four five"])] == first
 
 
+def test_frequent_units_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+    pair = Pair(public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+    asked = Counter()
+    lists = pair._lists
+    monkeypatch.setattr(pair, "_lists", lambda side, texts: asked.update("".join(texts).split()) or lists(side, texts))
+    for i in range(20):
+        pair.encode([" ".join(["often", *(f"rare{i}x{j}" for j in range(40)), "often"]).encode()])
+        assert len(pair._number) <= 50 + 41
+    assert asked["often"] == 2  # by A and by B
+
+
+def test_words_before_marks_are_encoded_once():
+    pair = Pair(public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+    pair.encode([b"word word. word, word; word: word! word?", b"other other. other, other; other: other! other?"])
+    assert len(pair._number) == 8
+    for text in ["a.b,c?!d.. e.\n\nf\x00.g a\x00 . b", "1.5,2 x².y é.́z :a ;b", "a. \n.b . c .", "s's. t're, don't; we'll? :"]:
+        a, b, _, _ = pair.encode([text.encode()])
+        assert a.tolist() == pair.a.encode(" " + text, add_special_tokens=False).ids, text
+        assert b.tolist() == pair.b.encode(text), text
+
+
+def test_encoding_starts_no_threads():
+    """Each thread keeps memory of its own, in every worker of an executor."""
+    code = """if True:
+        import os, public_tokenizers
+        from docindex.llm.alignment import A_FILE, B_FILE, Pair
+        pair = Pair(public_tokenizers.path(A_FILE), public_tokenizers.path(B_FILE))
+        before = len(os.listdir("/proc/self/task"))
+        pair.encode([" ".join(f"word{i}" for i in range(20_000)).encode()])
+        assert len(os.listdir("/proc/self/task")) == before
+    """
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, cwd=Path(__file__).parents[2])
+
+
 def test_hard_and_empty_tables(spark):
     got = align(cases.hard(spark)).collect()
     assert len(got) == 10 and {r.n_a for r in got if r.doc in (1, 2)} == {0}
