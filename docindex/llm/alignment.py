@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docindex.llm.common import Batches, one_thread, per_process, release, slices, staged, text_key, utf8
+from docindex.llm.common import Batches, frequent, one_thread, parts, per_process, release, runs, slices, staged, text_key, utf8
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -110,11 +110,7 @@ class Pair:
         self._met = np.zeros(0, np.int64)
 
     def _forget_rare(self) -> None:
-        """Keep the units met most often and more than once, at most a half."""
-        if len(self._met) < 2:
-            return self._forget()
-        least = max(1, int(np.partition(self._met, -(len(self._met) // 2))[-(len(self._met) // 2)]))
-        kept = np.flatnonzero(self._met > least)
+        kept = frequent(self._met)
         keys = list(self._number)
         ids, sizes = zip(*(self._of_units(side, kept) for side in (0, 1)))
         same, odd = self._same[kept], self._odd[kept]
@@ -200,8 +196,7 @@ class Pair:
     def _of_units(self, side: int, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of units one after another, and how many each has."""
         begin, sizes = self._begin[side][units], self._size[side][units]
-        at = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-        return self._ids[side][at].astype(np.int64), sizes
+        return runs(self._ids[side], begin, sizes).astype(np.int64), sizes
 
     def _keys(self, text: str) -> list[str]:
         """Keys of the units of a text; white space beside white space or at an end of
@@ -285,14 +280,6 @@ def _cuts(n: int, links: np.ndarray) -> np.ndarray:
     return flags
 
 
-def _parts(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Consecutive runs of a vector as binary values."""
-    ends = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
-    offsets = pa.py_buffer(ends.astype(np.int64).tobytes())
-    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, offsets, pa.py_buffer(values.tobytes())])
-    return data.cast(pa.binary())
-
-
 class Align:
     """Texts to ids and cut flags, one byte-packed value of each per row."""
 
@@ -312,10 +299,10 @@ class Align:
                     batch.column("doc"),
                     batch.column("text_key"),
                     pa.array((part << 33) + seen + np.arange(batch.num_rows)),
-                    _parts(a.astype(_kind(pair.a_size)), n_a),
-                    _parts(b.astype(_kind(pair.b_size)), n_b),
-                    _parts(_cuts(len(a), i), n_a),
-                    _parts(_cuts(len(b), j), n_b),
+                    parts(a.astype(_kind(pair.a_size)), n_a),
+                    parts(b.astype(_kind(pair.b_size)), n_b),
+                    parts(_cuts(len(a), i), n_a),
+                    parts(_cuts(len(b), j), n_b),
                 ],
                 ["doc", "text_key", "row", "a", "b", "a_cuts", "b_cuts"],
             )

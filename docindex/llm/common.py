@@ -161,6 +161,25 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+def frequent(met: np.ndarray) -> np.ndarray:
+    """Indexes of what was met most often and more than once, at most a half."""
+    half = len(met) // 2
+    return np.flatnonzero(met > max(1, np.partition(met, -half)[-half])) if half else np.zeros(0, np.int64)
+
+
+def runs(values: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin there and have these sizes, one after another."""
+    return values[np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)]
+
+
+def parts(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive runs of a vector as binary values."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
+    offsets = pa.py_buffer(ends.astype(np.int64).tobytes())
+    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, offsets, pa.py_buffer(values.tobytes())])
+    return data.cast(pa.binary())
+
+
 def one_thread(path: str) -> Tokenizer:
     """A tokenizer that starts no threads of its own: a task has one core, and each
     thread would keep memory."""

@@ -16,13 +16,13 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from docindex.llm.common import Batches, bounded, per_process, slices, staged, utf8
+from docindex.llm.common import Batches, bounded, frequent, one_thread, parts, per_process, runs, slices, staged, utf8
 
 VOCABULARY_FILE = "word_bpe_49k.json"
 END_ID = 1
@@ -30,9 +30,10 @@ CAPACITY = 2048
 
 # Pieces of text whose ids a Python worker remembers at a time.
 REMEMBERED = 500_000
+TOGETHER = 1 << 12  # pieces encoded by one call
 # Between a letter or digit and one of these the tokenizer always cuts; with a
 # space there, fewer different pieces remain.
-_CUT = re.compile(r"(?<=[^\W_])(?=[.,;:!?#*$%&|])")
+_CUT = re.compile(r"[.,;:!?#*$%&|](?<=[^\W_].)")
 
 # Texts with these are cut at white space only: "<|" may begin a special token,
 # whose case counts, and the lower case of the dotted I ends in a non-letter.
@@ -44,45 +45,89 @@ class PieceIds:
     across white space, so a text's ids are those of its pieces."""
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self._number: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
-        self._ids: list[bytes] = []
+        self.tokenizer = one_thread(path)
+        # Whether an id ends a word; nowhere, if the vocabulary does not mark that.
+        self._last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if mark:
+            self._last[[i for entry, i in self.tokenizer.get_vocab(False).items() if entry.endswith(mark)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        # The ids of all pieces; of each piece, where its own begin, how many they are
+        # and how often it was met.
+        self._ids = np.zeros(0, "<u4")
+        self._begin, self._size, self._met = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _forget_rare(self) -> None:
+        kept, pieces = frequent(self._met), list(self._number)
+        size = self._size[kept]
+        ids = runs(self._ids, self._begin[kept], size)
+        self._forget()
+        for i in kept.tolist():
+            self._number[pieces[i]]
+        self._ids, self._begin, self._size, self._met = ids, np.cumsum(size) - size, size, np.zeros(len(size), np.int64)
 
     @staticmethod
-    def pieces(text: bytes | None) -> list[bytes]:
+    def cut(text: bytes | None) -> str:
+        """The text with white space between its pieces."""
         if not text:
-            return []
+            return ""
         if b"<|" in text or _DOTTED_I in text:
-            return text.split()
-        return _CUT.sub(" ", text.lower().decode()).encode().split()
+            return text.decode()
+        return _CUT.sub(r" \g<0>", text.lower().decode())
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self._ids) > REMEMBERED:
-            self._number = defaultdict(itertools.count().__next__)
-            self._ids = []
-        number = self._number.__getitem__
-        docs = [list(map(number, self.pieces(text))) for text in texts]
-        self._learn(list(itertools.islice(self._number, len(self._ids), None)))
-        ids = self._ids.__getitem__
-        return [b"".join(map(ids, doc)) for doc in docs]
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode() for p in pieces]
-        # Letters alone are one word each, which the ids point back to.
-        plain = [t for t in texts if t.lower().isalpha()]
-        found: dict[str, bytes] = {}
-        if plain:
-            encoded = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            owner = np.array(encoded.word_ids, np.int64)
-            if owner[-1] + 1 == len(plain):
-                ids = np.array(encoded.ids, "<u4").tobytes()
-                ends = (4 * np.searchsorted(owner, np.arange(1, len(plain) + 1))).tolist()
-                found = {t: ids[i:j] for t, i, j in zip(plain, [0, *ends], ends)}
-        rest = [t for t in texts if t not in found]
-        for t, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            found[t] = np.array(encoded.ids, "<u4").tobytes()
-        self._ids += [found[t] for t in texts]
+        return parts(*self.laid_out(texts)).to_pylist()
+
+    def laid_out(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has."""
+        if len(self._size) > REMEMBERED:
+            self._forget_rare()
+        # White space at the ends of a text gives an empty piece, which has no ids.
+        docs = pc.ascii_split_whitespace(pa.array(map(self.cut, texts), pa.large_string()))
+        found = docs.flatten().dictionary_encode()
+        own = found.dictionary.to_pylist()
+        number = np.fromiter(map(self._number.__getitem__, own), np.int64, len(own))
+        self._learn()
+        pieces = number[found.indices.to_numpy()]
+        self._met += np.bincount(pieces, minlength=len(self._met))
+        sizes = self._size[pieces]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[docs.offsets.to_numpy()]
+        return runs(self._ids, self._begin[pieces], sizes), np.diff(ends)
+
+    def _learn(self) -> None:
+        """Encode the pieces numbered since the last call."""
+        texts = list(itertools.islice(self._number, len(self._size), None))
+        # Letters alone are one word each.
+        plain = np.array([t.lower().isalpha() for t in texts], bool)
+        found, at = [self._ids], len(self._ids)
+        begin, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        for where, encode in ((np.flatnonzero(plain), self._words), (np.flatnonzero(~plain), self._apart)):
+            for some in (where[i : i + TOGETHER] for i in range(0, len(where), TOGETHER)):
+                ids, counts = encode([texts[i] for i in some.tolist()])
+                begin[some], size[some] = at + np.cumsum(counts) - counts, counts
+                found.append(ids)
+                at += len(ids)
+        self._ids = np.concatenate(found)
+        self._begin, self._size = np.concatenate([self._begin, begin]), np.concatenate([self._size, size])
+        self._met = np.concatenate([self._met, np.zeros(len(texts), np.int64)])
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after another, and how many each has: encoded as one
+        text, where the ids show the ends of all words."""
+        encoded = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(encoded[0].ids, "<u4")
+        ends = np.flatnonzero(self._last[ids]) + 1
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            return ids, np.diff(ends, prepend=0)
+        return self._apart(words)
+
+    def _apart(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array(list(itertools.chain.from_iterable(lists)), "<u4"), np.array(list(map(len, lists)), np.int64)
 
 
 class Tokenise:
@@ -90,27 +135,27 @@ class Tokenise:
     the task."""
 
     def __init__(self, path: str, end_id: int) -> None:
-        self.path, self.end = path, np.array([end_id], "<u4").tobytes()
+        self.path, self.end = path, end_id
 
     def __call__(self, batches: Batches) -> Batches:
         part = TaskContext.get().partitionId()
         pieces = per_process(f"piece ids {self.path}", lambda: PieceIds(self.path))
         at = 0
         for batch in (part for whole in batches for part in slices(whole)):
-            ids = [x + self.end for x in pieces.encode(list(utf8(batch.column("text"))))]
-            lengths = np.array([len(x) // 4 for x in ids], np.int64)
+            ids, lengths = pieces.laid_out(list(utf8(batch.column("text"))))
+            ids, lengths = np.insert(ids, np.cumsum(lengths), self.end), lengths + 1
             ends = at + np.cumsum(lengths)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
-                    pa.array([part] * len(ids), pa.int32()),
+                    pa.array([part] * len(lengths), pa.int32()),
                     pa.array(ends - lengths, pa.int64()),
                     pa.array(lengths, pa.int64()),
-                    pa.array(ids, pa.binary()),
+                    parts(ids, lengths),
                 ],
                 ["doc", "part", "start", "tokens", "ids"],
             )
-            at = int(ends[-1]) if len(ends) else at
+            at = int(ends[-1])
 
 
 def tokenised(docs: DataFrame, doc_id: str, text: str, path: str, end_id: int) -> DataFrame:

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docindex.llm import neighbours, pii, quality, rules, sampling, sharding, token_counts
+from docindex.llm import neighbours, packing, pii, quality, rules, sampling, sharding, token_counts
 from docindex.llm.near_dups import near_duplicates
 from docindex.llm.neighbours import nearest
 from docindex.llm.packing import PieceIds, pack
@@ -206,6 +206,44 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(own, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+class Asked:
+    """A tokenizer that notes the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode(self, text, **options):
+        self.texts.append(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_frequent_pieces_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    plain, pieces = Tokenizer.from_file(WORDS_FILE), PieceIds(WORDS_FILE)
+    pieces.tokenizer = Asked(plain)
+    for i in range(20):
+        rare = ["rare" + chr(97 + i) + chr(97 + j) for j in range(26)]
+        text = " ".join(["often,", "1of", *rare, "often.", "1of"])
+        (own,) = pieces.encode([text.encode()])
+        assert np.frombuffer(own, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(pieces._number) <= 50 + 30
+    asked = " ".join(pieces.tokenizer.texts).split()
+    assert asked.count("often") == asked.count("1of") == 1
+    assert max(asked.count(word) for word in asked) == 1
+
+
+def test_letters_that_are_no_letters_to_the_tokenizer():
+    tokenizer, pieces = Tokenizer.from_file(WORDS_FILE), PieceIds(WORDS_FILE)
+    texts = ["plain \ua7cb\u1c8aword newꟋ ﬁ\x1cx\x85y\xa0z İi. a<|b,c |>", "  ", "\n", " lead trail \t", "x\x00.y\x0b\x0cz", None, ""]
+    ids = pieces.encode([t if t is None else t.encode() for t in texts])
+    for text, own in zip(texts, ids):
+        assert np.frombuffer(own, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
 def test_pieces_cover_the_stream_exactly(spark, small_batches):
     texts = cases.make_texts(seed=2, n=50)
     pieces = pack(cases.frame(spark, texts).repartition(4), capacity=64).collect()
