@@ -4,7 +4,8 @@ A *window* is ``size`` consecutive words. Its minimiser is the smallest hash of
 its ``ANCHOR``-word sequences; consecutive windows mostly share one, and such a
 run (a super-k-mer) travels as one packed string to the minimiser's bucket, where
 sorting brings equal windows together. Hashes only arrange the sort: windows of
-one hash are compared word by word.
+one hash are compared word by word. Words are hashed where they lie in the text, all
+at once; only those of compared windows become objects of their own.
 
 * Of the equal windows in a slice of a task's rows only the first is shipped; the
   task knows by itself that the others are repeats.
@@ -26,6 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,7 @@ from pyspark.sql import types as T
 from docindex.llm.common import (
     Batches,
     Vocabulary,
+    joined,
     mix,
     sequence_hashes,
     slices,
@@ -55,11 +58,68 @@ REPORTED = 4
 # Windows of hot minimisers that a task remembers; above it, it forgets them all.
 REMEMBERED = 200_000
 
+# Longer words, in bytes, are hashed one by one.
+LONG = 64
+# Words that are hashed at a time, and how hard packed strings are compressed.
+AT_ONCE = 1 << 15
+LEVEL = 5
+
 # Stands for a NULL id, which comes before all others.
 NO_ID = np.iinfo(np.int64).min
 
 _RUN = np.dtype([("doc", "<i8"), ("key", "<i8"), ("start", "<i4"), ("words", "<i4")])
 _SEPARATORS = re.compile(rb"([\x20\x09-\x0D]+)")
+# The first 0 to 8 bytes of a little-endian number.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class Words:
+    """The words of texts, in their order, as places in one string of bytes."""
+
+    def __init__(self, texts: list[bytes | None]) -> None:
+        # Eight spaces end the last word, and eight bytes can be read at any place.
+        self.data = b"\n".join([*(t or b"" for t in texts), b" " * 8])
+        byte = np.frombuffer(self.data, np.uint8)
+        space = (byte == 32) | (byte - np.uint8(9) < 5)
+        edges = np.flatnonzero(np.concatenate([~space[:1], space[1:] != space[:-1]]))
+        self.begin, self.end = edges[::2], edges[1::2]
+
+    def counts(self, texts: list[bytes | None]) -> np.ndarray:
+        """The number of words of each text."""
+        ends = np.cumsum([len(t or b"") + 1 for t in texts], dtype=np.int64)
+        return np.diff(np.searchsorted(self.begin, ends), prepend=0)
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word, from eight bytes at a time."""
+        eight = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=1)
+        out = np.empty(len(self.begin), np.uint64)
+        for lo in range(0, len(out), AT_ONCE):
+            begin, end = self.begin[lo : lo + AT_ONCE], self.end[lo : lo + AT_ONCE]
+            left = end - begin
+            part = joined(left.astype(np.uint64), eight[begin] & _BYTES[np.minimum(left, 8)])
+            more = np.flatnonzero(left > 8)
+            for at in range(8, LONG, 8):
+                more = more[left[more] > at]
+                part[more] = joined(part[more], eight[begin[more] + at] & _BYTES[np.minimum(left[more] - at, 8)])
+            for i in more[left[more] > LONG].tolist():
+                part[i] = xxhash.xxh64_intdigest(self.data[begin[i] : end[i]])
+            out[lo : lo + AT_ONCE] = mix(part)
+        return out
+
+    def numbers(self, at: np.ndarray, size: int, vocabulary: Vocabulary) -> np.ndarray:
+        """Equal numbers for equal words, of the ``size`` words from each of ``at`` on;
+        0 for all others."""
+        depth = np.zeros(len(self.begin) + 1, np.int32)
+        starts = np.unique(at)
+        depth[starts] += 1
+        depth[starts + size] -= 1
+        met = np.flatnonzero(np.cumsum(depth[:-1]))
+        out = np.zeros(len(self.begin), np.int64)
+        for lo in range(0, len(met), AT_ONCE):
+            part = met[lo : lo + AT_ONCE]
+            ends = zip(self.begin[part].tolist(), self.end[part].tolist())
+            out[part] = vocabulary.numbers([self.data[i:j] for i, j in ends])
+        return out
 
 
 class _Windows:
@@ -70,20 +130,16 @@ class _Windows:
         keys = batch.column("text_key").to_numpy(zero_copy_only=False)
         order = np.lexsort((keys, docs))
         texts = list(utf8(batch.column("text")))
+        texts = [texts[i] for i in order.tolist()]
         self.size = size
         self.docs = docs[order]
         self.keys = keys[order]
-        self.words: list[bytes] = []
-        lengths = []
-        for i in order:
-            words = texts[i].split() if texts[i] else []
-            lengths.append(len(words))
-            self.words += words
-        self.numbers = vocabulary.numbers(self.words)
-        hashes = vocabulary.hashes()[self.numbers]
-        self.row = np.repeat(np.arange(len(lengths)), lengths)  # of each word
+        self.words = Words(texts)
+        self.vocabulary = vocabulary
+        lengths = self.words.counts(texts)
+        hashes = self.words.hashes()
         self.first = np.cumsum(lengths) - lengths  # word of each row
-        counts = np.maximum(np.array(lengths, np.int64) - size + 1, 0)
+        counts = np.maximum(lengths - size + 1, 0)
         row = np.repeat(np.arange(len(lengths)), counts)
         before = np.cumsum(counts) - counts
         # Positions of the windows among all words.
@@ -95,6 +151,15 @@ class _Windows:
     def hashes(self) -> np.ndarray:
         return sequence_hashes(self._hashes, self.size)[self.at]
 
+    def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether windows ``a`` have the words of windows ``b``."""
+        a, b = self.at[a], self.at[b]
+        numbers = self.words.numbers(np.concatenate([a, b]), self.size, self.vocabulary)
+        same = np.ones(len(a), bool)
+        for i in range(self.size):
+            same &= numbers[a + i] == numbers[b + i]
+        return same
+
 
 def _starts(*changed: np.ndarray) -> np.ndarray:
     """Where runs begin: at 0 and wherever one of ``changed`` holds."""
@@ -131,7 +196,6 @@ class AnchorCounts:
         vocabulary, frequent = Vocabulary(), Frequent(COUNTED)
         for batch in (part for whole in batches for part in slices(whole)):
             w = _Windows(batch, self.size, vocabulary)
-            vocabulary.trim()
             if not len(w.at):
                 continue
             runs = _starts(np.diff(w.at) != 1, np.diff(w.anchors) != 0)
@@ -148,7 +212,7 @@ class AnchorCounts:
 
 def _pack(runs: np.ndarray, texts: list[bytes]) -> bytes:
     head = np.int64(len(runs)).tobytes()
-    return zstandard.compress(head + runs.tobytes() + b"\n".join(texts), 3)
+    return zstandard.compress(head + runs.tobytes() + b"\n".join(texts), LEVEL)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
@@ -178,15 +242,13 @@ class Ship:
 
     def _shipped(self, w: _Windows, shipped: dict[bytes, tuple[int, int, int]]) -> pa.RecordBatch:
         hashes = w.hashes()
-        order = np.argsort(hashes, kind="stable")
-        group = np.cumsum(np.concatenate([[False], np.diff(hashes[order]) != 0]))
-        head = order[_starts(np.diff(group) != 0)][group]  # first window of the same hash
+        order = np.argsort(hashes)
+        begin = _starts(np.diff(hashes[order]) != 0)
+        head = np.minimum.reduceat(order, begin)  # first window of the same hash
+        head = np.repeat(head, np.diff(np.append(begin, len(order))))
         later = np.flatnonzero(order != head)
         a, b = order[later], head[later]
-        span = np.arange(self.size)
-        same = np.ones(len(a), bool)
-        for i in span:
-            same &= w.numbers[w.at[a] + i] == w.numbers[w.at[b] + i]
+        same = w.equal(a, b)
         start = w.at - w.first[w.window_row]
         one, other = w.window_row[a], w.window_row[b]
         tied = (w.docs[one] == w.docs[other]) & (w.keys[one] == w.keys[other]) & (start[a] == start[b])
@@ -199,7 +261,8 @@ class Ship:
         for i in np.flatnonzero(sent & is_hot).tolist():
             row = w.window_row[i]
             mine = (int(w.docs[row]), int(w.keys[row]), int(start[i]))
-            words = b" ".join(w.words[w.at[i] : w.at[i] + self.size])
+            text = w.words.data[w.words.begin[w.at[i]] : w.words.end[w.at[i] + self.size - 1]]
+            words = b" ".join(text.split())
             if shipped.setdefault(words, mine) < mine:
                 again.append(i)
             else:
@@ -220,9 +283,10 @@ class Ship:
 
         buckets, blobs = [], []
         edges = np.append(_starts(np.diff(target) != 0), len(runs)) if len(runs) else np.zeros(1, np.int64)
-        begin, end = at[runs].tolist(), (at[runs] + length).tolist()
+        data = w.words.data
+        begin, end = w.words.begin[at[runs]].tolist(), w.words.end[at[runs] + length - 1].tolist()
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            texts = [b" ".join(w.words[i:j]) for i, j in zip(begin[lo:hi], end[lo:hi])]
+            texts = [data[i:j] for i, j in zip(begin[lo:hi], end[lo:hi])]
             buckets.append(int(target[lo]))
             blobs.append(_pack(table[lo:hi], texts))
         known = [False] * len(blobs)
@@ -267,21 +331,20 @@ class Count:
             (known if is_known.as_py() else sent).append(runs)
             texts.append(text)
         runs = np.concatenate(sent)
-        vocabulary = Vocabulary()
-        numbers = np.concatenate([np.zeros(0, np.int64), *(vocabulary.numbers(t.split()) for t in texts)])
+        words = Words(texts)
         del texts
-        found = self._repeats(runs, numbers, vocabulary) if len(runs) else runs
+        found = self._repeats(runs, words) if len(runs) else runs
         return _ranges(np.concatenate([*known, found]))
 
-    def _repeats(self, runs: np.ndarray, numbers: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    def _repeats(self, runs: np.ndarray, words: Words) -> np.ndarray:
         counts = runs["words"].astype(np.int64) - self.size + 1
         run = np.repeat(np.arange(len(runs)), counts)
         offset = np.arange(len(run)) - (np.cumsum(counts) - counts)[run]
         words_before = np.cumsum(runs["words"], dtype=np.int64) - runs["words"]
         at = words_before[run] + offset
-        hashes = sequence_hashes(vocabulary.hashes()[numbers], self.size)[at]
+        hashes = sequence_hashes(words.hashes(), self.size)[at]
 
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         equal = np.diff(hashes[order]) == 0
         many = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
         if not len(many):
@@ -290,6 +353,7 @@ class Count:
         many = many[np.lexsort((start[many], key[many], doc[many], hashes[many]))]
         _, group = np.unique(hashes[many], return_inverse=True)
         heads = many[_starts(np.diff(group) != 0)][group]
+        numbers = words.numbers(at[many], self.size, Vocabulary())
         different = np.zeros(len(many), bool)
         for i in range(self.size):
             different |= numbers[at[many] + i] != numbers[at[heads] + i]

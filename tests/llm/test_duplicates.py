@@ -114,6 +114,43 @@ def test_frequent_values_keep_their_counts_within_the_bound():
     assert true[7] - held.get(7, 0) <= 2 * true.sum() / 50
 
 
+def test_words_are_those_of_split_and_hashed_alike():
+    texts = [None, b"", b" a\tb\x0b\x0cc\r\n", b"eight888 nine99999 a", "é\x00 \x85x\u2003y".encode(), b"w" * 64, b"w" * 65 + b" " + b"w" * 200]
+    texts += [b"", b"a " + b"w" * 65, b"sixteen161616161 sixteen16161616x a" + bytes(3)]
+    words = substrings.Words(texts)
+    plain = [t.split() if t else [] for t in texts]
+    flat = [w for row in plain for w in row]
+    assert words.counts(texts).tolist() == [len(row) for row in plain]
+    assert [words.data[i:j] for i, j in zip(words.begin, words.end)] == flat
+    hashes = words.hashes().tolist()
+    assert len({*zip(flat, hashes)}) == len({*flat}) == len({*hashes})
+    for none in ([], [None], [b"", None, b" \n"]):
+        assert substrings.Words(none).counts(none).tolist() == [0] * len(none)
+        assert len(substrings.Words(none).hashes()) == 0
+
+
+def test_only_words_of_compared_windows_are_numbered(monkeypatch):
+    import pyarrow as pa
+
+    numbered = []
+    numbers = substrings.Vocabulary.numbers
+    monkeypatch.setattr(substrings.Vocabulary, "numbers", lambda self, words: (numbered.extend(words), numbers(self, words))[1])
+    passage = " ".join(f"p{i}" for i in range(22))
+    texts = [" ".join(f"own{i}x{j}" for j in range(200)) for i in range(30)]
+    for repeats, most in (([], 0), ([passage, passage], 2 * 44)):
+        numbered.clear()
+        rows = [f"{t} {passage}" if repeats and i < 2 else t for i, t in enumerate(texts)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(range(len(rows)), pa.int64()), pa.array(range(len(rows)), pa.int64()), pa.array(rows)],
+            ["doc", "text_key", "text"],
+        )
+        list(substrings.AnchorCounts(20)([batch]))
+        out = pa.Table.from_batches(list(substrings.Ship(20, 1, substrings.np.zeros(0, substrings.np.uint64))([batch])))
+        found = substrings.Count(20)(out).to_pylist()
+        assert [(r["doc"], r["start"], r["words"]) for r in found] == ([(1, 200, 22)] if repeats else [])
+        assert len(numbered) <= most
+
+
 def shipped_windows(texts, hot_share, monkeypatch, slice_rows):
     """What a task ships of each slice, with every minimiser hot."""
     import numpy as np
