@@ -1,6 +1,7 @@
 """MinHash near-duplicates by an inverted join of signature coordinates.
 
-1. Equal word sequences fold into one *node* first, so copies make no pairs.
+1. Equal word sequences fold into one *node* first, so copies make no pairs. Nodes
+   are numbered as they are written; all later tables have these numbers.
 2. A node's set of word shingles gives ``COORDINATES`` MinHash values. Each
    (coordinate, value) is posted; a pair can only be linked if it agrees in at
    least ``matches`` coordinates (chosen so that a pair at the similarity is
@@ -10,7 +11,8 @@
    list, so most nodes leave here.
 4. Skip: only prefix lists are merged; the frequent rest is looked up in the
    signatures of pairs met there, and the pair is dropped below ``matches``.
-5. What remains is confirmed on the full shingle sets.
+5. What remains is confirmed on the full shingle sets, each read once and sent to the
+   leaders it is compared with.
 
 No list is expanded into all its pairs. In a list every node meets one leader, the
 node whose postings are shared most (in a family of edited copies: their source,
@@ -25,7 +27,9 @@ first ``n - ceil(similarity * n) + 1`` in any common order, and texts that merel
 share a template have nothing in common there. Only these lists meet in blocks.
 
 A leader's or a list's row that many rows need is sent to them in as many copies as
-they fill blocks, or broadcast if its key is among the few with a large share.
+they fill blocks, or broadcast if its key is among the few with a large share. What
+asks for full sets is narrow and broadcast while its counted rows fit, so that sets
+are sent once, to where they are compared; beyond that they are dealt by node first.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docindex.llm.common import (
@@ -91,7 +95,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 class Signer:
-    """Texts to (node, number of shingles, signature)."""
+    """Texts to (digest of the words, number of shingles, signature)."""
 
     def __init__(self, size: int) -> None:
         self.size = size
@@ -99,10 +103,10 @@ class Signer:
     def __call__(self, batches: Batches) -> Batches:
         vocabulary = Vocabulary()
         for batch in (part for whole in batches for part in slices(whole)):
-            nodes, numbers, counts, signatures = [], [], [], []
+            digests, numbers, counts, signatures = [], [], [], []
             for text in utf8(batch.column("text")):
                 words = text.lower().split() if text else []
-                nodes.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 numbers.append(vocabulary.numbers(words))
             for shingles in shingle_sets(numbers, self.size, vocabulary.hashes()):
                 counts.append(len(shingles))
@@ -112,11 +116,11 @@ class Signer:
                 [
                     batch.column("doc"),
                     batch.column("text_key"),
-                    pa.array(nodes, pa.binary()),
+                    pa.array(digests, pa.binary()),
                     pa.array(counts, pa.int64()),
                     pa.array(signatures, pa.list_(pa.int32())),
                 ],
-                ["doc", "text_key", "node", "n_shingles", "signature"],
+                ["doc", "text_key", "digest", "n_shingles", "signature"],
             )
 
 
@@ -146,7 +150,7 @@ class Blocks:
 
     def __call__(self, block: pa.Table) -> pa.Table:
         asks = block.column("asks").to_numpy()
-        names, roots = np.unique(np.array([r.hex() for r in block.column("root").to_pylist()]), return_inverse=True)
+        names, roots = np.unique(block.column("root").to_numpy(), return_inverse=True)
         sets = block.column("shingles").combine_chunks()
         lengths = np.diff(sets.offsets.to_numpy())
         row = np.repeat(np.arange(len(lengths)), lengths)
@@ -165,8 +169,7 @@ class Blocks:
         linked = (common * self.den >= union * self.num) & (roots[y][:, None] != roots[x][None, :])
         i, j = np.nonzero(linked)
         pairs = np.unique(np.stack([roots[y[i]], roots[x[j]]]), axis=1)
-        found = [pa.array(map(bytes.fromhex, names[at].tolist()), pa.binary()) for at in pairs]
-        return pa.table(found, ["a", "b"])
+        return pa.table([pa.array(names[at], pa.int64()) for at in pairs], ["a", "b"])
 
 
 def _agreeing(x: Column, y: Column) -> Column:
@@ -179,7 +182,7 @@ def signed(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text")
     )
-    schema = "doc bigint, text_key bigint, node binary, n_shingles bigint, signature array<int>"
+    schema = "doc bigint, text_key bigint, digest binary, n_shingles bigint, signature array<int>"
     return staged(rows.mapInArrow(Signer(shingle), schema), "signatures")
 
 
@@ -249,12 +252,16 @@ class Join:
         fits = (F.least("na", "nb") * self.den >= F.greatest("na", "nb") * self.num)
         likely = compared.filter((F.col("agreeing") >= self.matches) & fits)
         likely = staged(likely.drop("agreeing"), "likely")
-        asked = likely.select("a").distinct()
-        left = self.copies(self.sets.toDF("a", "x").join(asked, "a", "left_semi"))
-        met = likely.join(self.sets.toDF("b", "y"), "b").join(left, ["a", "part"])
-        common = F.size(F.array_intersect("x", "y"))
+        others = likely.withColumnRenamed("b", "node").withColumn("asks", F.lit(True))
+        leaders = likely.groupBy("a", "part").agg(F.first("na").alias("na"))
+        leaders = leaders.select(F.col("a").alias("node"), "a", "part", "na", F.col("na").alias("nb"), F.lit(False).alias("asks"))
+        wanted = bounded(others.unionByName(leaders), 2 * likely.count())
+        # Of a leader's part, its own row comes first.
+        own = Window.partitionBy("a", "part").orderBy("asks")
+        met = wanted.join(self.sets, "node").withColumn("x", F.first("shingles").over(own))
+        common = F.size(F.array_intersect("x", "shingles"))
         union = F.col("na") + F.col("nb") - F.col("common")
-        linked = met.select("a", "b", "na", "nb", common.alias("common"))
+        linked = met.filter("asks").select("a", F.col("node").alias("b"), "na", "nb", common.alias("common"))
         linked = linked.filter(F.col("common") * self.den >= union * self.num)
         return staged(linked.select("a", "b"), "near-pairs")
 
@@ -280,13 +287,14 @@ class Join:
         y = rows.filter("outside").select(
             "leader", "node", "root", F.lit(True).alias("asks"), every("blocks").alias("i"), own("asking").alias("j")
         )
-        blocks = x.unionByName(y).join(self.sets, "node")
+        n_rows = rows.agg(F.sum(F.col("asking") + F.when(F.col("outside"), F.col("blocks")).otherwise(0))).first()[0]
+        blocks = bounded(x.unionByName(y), n_rows or 0).join(self.sets, "node")
         compare = Blocks(self.num, self.den)
 
         def compare_block(block: pa.Table) -> pa.Table:
             return compare(block)
 
-        found = blocks.groupBy("leader", "i", "j").applyInArrow(compare_block, "a binary, b binary")
+        found = blocks.groupBy("leader", "i", "j").applyInArrow(compare_block, "a bigint, b bigint")
         return staged(found, "root-pairs")
 
 
@@ -336,7 +344,8 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
 ) -> DataFrame:
-    """``(doc, text_key, n_shingles, component, component_id)`` per row of ``docs``.
+    """``(doc, text_key, n_shingles, component, component_id)`` per row of ``docs``;
+    ``component`` numbers the groups of this run.
 
     Rows whose sets of ``shingle``-word shingles have a Jaccard similarity of
     ``num / den`` or more are linked; ``component_id`` is the smallest id that can
@@ -351,14 +360,14 @@ def near_duplicates(
     """
     matches = least_matches(num / den)
     rows = signed(docs, doc_id, text, shingle)
-    nodes = rows.filter("node is not null").groupBy("node").agg(
+    nodes = rows.filter("digest is not null").groupBy("digest").agg(
         F.min("doc").alias("first_doc"),
         F.min(F.struct("doc", "text_key")).alias("at"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature"),
         F.count(F.lit(1)).alias("copies"),
     )
-    nodes = staged(nodes, "nodes")
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     posted = staged(postings(nodes, matches), "postings")
 
     wanted = nodes.join(posted.select("node").distinct(), "node", "left_semi")
@@ -367,26 +376,26 @@ def near_duplicates(
     wanted = bounded(wanted, n_wanted).withColumnRenamed("doc", "wanted_doc")
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc"), text_key(F.col(text)).alias("text_key"), F.col(text).alias("text"))
     texts = texts.join(wanted, (F.col("text_key") == F.col("key")) & F.col("doc").eqNullSafe(F.col("wanted_doc")))
-    sets = texts.select("node", "text").mapInArrow(ShingleSets(shingle), "node binary, shingles array<bigint>")
+    sets = texts.select("node", "text").mapInArrow(ShingleSets(shingle), "node bigint, shingles array<bigint>")
     sets = staged(sets, "sets")
     if sets.count() > n_wanted:  # an id and a text that repeat
         sets = sets.dropDuplicates(["node"])
 
     roots = link_components(posted, Join(nodes, sets, matches, num, den))
-    placed = nodes.select("node", "first_doc", "copies").join(roots, "node", "left")
+    placed = nodes.select("node", "digest", "first_doc", "copies").join(roots, "node", "left")
     placed = staged(placed.withColumn("component", F.coalesce("root", "node")), "components")
     smallest = placed.filter("root is not null").groupBy("component").agg(
         F.min("first_doc").alias("component_id"), F.count(F.lit(1)).alias("n")
     )
     smallest = staged(smallest, "smallest")
     total = smallest.agg(F.sum("n")).first()[0] or 0
-    columns = ["node", "component", "component_id", "copies"]
+    columns = ["digest", "component", "component_id", "copies"]
     linked = join_uneven(placed.filter("root is not null"), smallest, "component", "n", total).select(*columns)
     alone = placed.filter("root is null").withColumnRenamed("first_doc", "component_id").select(*columns)
     found = staged(linked.unionByName(alone), "placed-nodes")
-    rows = rows.select("doc", "text_key", "node", "n_shingles")
+    rows = rows.select("doc", "text_key", "digest", "n_shingles")
     n_rows = nodes.agg(F.sum("copies")).first()[0] or 0
     columns = ["doc", "text_key", "n_shingles", "component", "component_id"]
-    with_words = join_uneven(rows.filter("node is not null"), found, "node", "copies", n_rows).select(*columns)
-    no_words = rows.filter("node is null").withColumn("component", F.lit(None).cast("binary"))
+    with_words = join_uneven(rows.filter("digest is not null"), found, "digest", "copies", n_rows).select(*columns)
+    no_words = rows.filter("digest is null").withColumn("component", F.lit(None).cast("bigint"))
     return with_words.unionByName(no_words.withColumn("component_id", F.col("doc")).select(*columns))

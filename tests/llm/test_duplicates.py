@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from docindex.llm import near_dups, substrings
+from docindex.llm import common, near_dups, substrings
 from docindex.llm.components import components
 from docindex.llm.near_dups import least_matches, near_duplicates
 from docindex.llm.substrings import remove_repeats
@@ -33,6 +33,33 @@ def test_a_family_around_a_source_is_joined_across_its_leader(spark, monkeypatch
     assert {r.doc: r.component_id for r in found} == roots
 
 
+@pytest.mark.parametrize("keys", [1_000_000, 0])
+def test_full_sets_are_read_and_sent_once(spark, monkeypatch, keys):
+    """With few pairs sets go to their leaders alone, else they are dealt by node first;
+    nodes are sent as numbers."""
+    plans, schemas = {}, {}
+    staged = near_dups.staged
+
+    def seen(df, name):
+        plans[name], schemas[name] = df._jdf.queryExecution().executedPlan().toString(), dict(df.dtypes)
+        return staged(df, name)
+
+    monkeypatch.setattr(near_dups, "staged", seen)
+    monkeypatch.setattr(common, "BROADCAST_KEYS", keys)
+    texts = cases.make_texts(seed=3)
+    sets, roots = cases.jaccard_components(texts, 3, 85, 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_duplicates(cases.frame(spark, texts), shingle=3, num=85, den=100).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.doc: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), roots[i]) for i, s in enumerate(sets)}
+    for name in ("near-pairs", "root-pairs"):
+        assert plans[name].count("shingles:array<bigint>") == 1
+        assert plans[name].count("SortMergeJoin") == (0 if keys else 1)
+    assert {schemas[name]["node"] for name in ("postings", "met", "placed")} == {"bigint"}
+
+
 def test_hard_cases_of_near_duplicates(spark):
     rows = near_duplicates(cases.hard(spark), shingle=3, num=85, den=100).collect()
     by_id = {}
