@@ -1,7 +1,9 @@
 """Whole runs, checked against a full build by brute force."""
 
 import hashlib
+import os
 import random
+import time
 import uuid
 
 import pytest
@@ -12,8 +14,10 @@ from docindex.embedders import HashEmbedder
 from docindex.extractors import utf8_text
 from docindex.operators.documents import extract_with
 from docindex.plans.increment import EmbeddingOutageError, MassDeletionError
+from docindex.queries import QUERIES
 from docindex.schemas import CHUNKS, DOCS, EMBEDDINGS, RETRIEVAL_INDEX
 from docindex.sources import store as store_module
+from docindex.sources.scratch import FREES_SHUFFLES
 
 SIZE, OVERLAP = 10, 3
 
@@ -306,6 +310,34 @@ def test_compaction_changes_nothing_a_reader_sees(spark, index):
     index.check(corpus)
 
 
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_steps_leave_no_shuffle_files(spark, index):
+    before = _shuffle_files(spark)
+    index.run(BASE)
+    index.run({**BASE, "d://new": "a text that did not exist before"})
+    index.store.compact()
+    deadline = time.monotonic() + 20  # they are removed in the background
+    while _shuffle_files(spark) - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(FREES_SHUFFLES, "false") == "false"
+
+
+def test_round_trip_keeps_the_folded_run_alone(spark, tmp_path):
+    rows = [(i, f"words of text {i} " * 5, "en", "web", 50) for i in range(20)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(path)
+    found = QUERIES["publish_roundtrip"](spark, str(tmp_path))
+    root = found.inputFiles()[0].removeprefix("file:").split("/retrieval_index/")[0]
+    kept = {t: [r for r in os.listdir(f"{root}/{t}") if os.listdir(f"{root}/{t}/{r}")] for t in ("docs", "chunks", "embeddings", "retrieval_index")}
+    assert kept == dict.fromkeys(kept, ["run=3"])
+    assert {r.uri for r in found.collect()} == {f"doc://web/{i}" for i in range(20)}
+
+
 def test_compaction_when_due(spark, index):
     index.run(BASE, compact_fraction=0.5)
     corpus = {**BASE, "u/a": "edited"}
