@@ -1,5 +1,6 @@
 """The row-wise operators, sharding, packing and search against plain versions."""
 
+import math
 import time
 import zlib
 from collections import defaultdict
@@ -507,6 +508,46 @@ def test_recall_inside_a_group_of_near_copies(spark):
     assert hits / (5 * len(queries)) >= 0.9
 
 
+def test_the_graph_is_exchanged_by_lists_not_edges(spark, monkeypatch):
+    rows, whole = defaultdict(list), neighbours.staged
+
+    def counted(df, name):
+        out = whole(df, name)
+        rows[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "staged", counted)
+    monkeypatch.setattr(neighbours, "BUCKET", 64, raising=False)
+    x = np.random.default_rng(3).standard_normal((300, 8))
+    found = nearest(vectors(spark, x), F.col("vec_id") % 50 == 0).collect()
+    assert set(rows["graph"]) == {300} and "met" not in rows and "meetings" not in rows
+    unit = x.astype(np.float32).astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    for q in range(0, 300, 50):
+        score = unit @ unit[q]
+        score[q] = -2
+        own = [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == q]
+        assert own == np.argsort(-score)[:5].tolist()
+
+
+@pytest.mark.parametrize("items", ["float", "double"])
+def test_scores_are_those_of_a_plain_sum(spark, items):
+    x = (np.random.default_rng(4).standard_normal((60, 33)) * 3).astype(np.float32 if items == "float" else np.float64)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id bigint, embedding array<{items}>")
+    found = nearest(rows, F.col("vec_id") % 20 == 0).collect()
+
+    def dot(a, b):
+        total = 0.0
+        for p, q in zip(a.tolist(), b.tolist()):
+            total += p * q
+        return total
+
+    assert len(found) == 15
+    for r in found:
+        a, b = x[r.query_id], x[r.vec_id]
+        assert r.score == dot(a, b) / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b)))
+
+
 def test_vectors_of_another_length_take_no_part(spark):
     x = [[1.0, 0.0], [0.9, 0.1], [0.0, 1.0], [1.0, 0.0, 0.0, 0.0, 1.0, 1.0]]
     found = nearest(vectors(spark, x), F.col("vec_id") >= 0, k=5).collect()
