@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docindex.llm.common import Batches, mix, parts, staged
+from docindex.sources.scratch import shuffles_freed
 
 WIDTH = 40
 BACK = 24
@@ -49,7 +50,7 @@ _NEVER = float("-inf")
 # Numbers of what is packed; vectors have a type of their own.
 _TYPES = {"node": "<i8", "other": "<i8", "meeting": "<i8", "cosine": "<f8", "worst": "<f8", "fresh": "?", "back": "?"}
 _NODES = "bucket int, node bigint, vector binary, norm double"
-_GRAPH = "bucket int, node bigint, vector binary, other binary, cosine binary, fresh binary, gained int"
+_GRAPH = "bucket int, node bigint, vector binary, other binary, cosine binary, fresh binary, gained int, worst double"
 _OFFERS = "bucket int, meeting binary, node binary, cosine binary, fresh binary, back binary"
 _CALLS = "bucket int, node binary, meeting binary, fresh binary"
 _MEMBERS = "bucket int, meeting binary, node binary, fresh binary, worst binary, vector binary"
@@ -198,6 +199,8 @@ def _met(members: DataFrame, graph: DataFrame, kind: str, buckets: int) -> DataF
         own = np.sort(own)
         ends = np.searchsorted(node, own, "right")
         sizes = ends - np.searchsorted(node, own, "left")
+        worst = np.full(len(own), _NEVER)
+        worst[sizes >= WIDTH] = cosine[ends[sizes >= WIDTH] - 1]
         new = np.diff(np.concatenate([[0], np.cumsum(fresh)])[np.concatenate([[0], ends])]) if len(own) else ends
         return pa.table(
             {
@@ -208,6 +211,7 @@ def _met(members: DataFrame, graph: DataFrame, kind: str, buckets: int) -> DataF
                 "cosine": parts(cosine, sizes),
                 "fresh": parts(fresh, sizes),
                 "gained": pa.array(new, pa.int32()),
+                "worst": worst,
             }
         )
 
@@ -245,11 +249,7 @@ def _called(graph: DataFrame, buckets: int) -> DataFrame:
 
     def send(lists: pa.Table, calls: pa.Table) -> pa.Table:
         own = lists.column("node").to_numpy()
-        sizes, (cosine,) = _lengths(lists.column("other"), 8), _opened(lists, "cosine")
-        full = np.repeat(sizes >= WIDTH, sizes)
-        worst = np.full(len(own), _NEVER)
-        # Lists stand in the order of their cosines.
-        worst[sizes >= WIDTH] = cosine[full][np.cumsum(sizes[sizes >= WIDTH]) - 1] if full.any() else _NEVER
+        worst = lists.column("worst").to_numpy()
         vector = _whole_rows(_bytes(lists.column("vector")).reshape(len(own), -1))
         node, meeting, fresh = _opened(calls, "node", "meeting", "fresh")
         order = np.argsort(own)
@@ -258,7 +258,7 @@ def _called(graph: DataFrame, buckets: int) -> DataFrame:
 
     offers = graph.select("node", "other", "cosine", "fresh").mapInArrow(offer, _OFFERS)
     calls = offers.groupBy("bucket").applyInArrow(call, _CALLS)
-    lists = graph.select("bucket", "node", "vector", "other", "cosine")
+    lists = graph.select("bucket", "node", "vector", "worst")
     # A bucket whose nodes nobody calls has nothing to send, one without nodes is not called.
     return lists.groupBy("bucket").cogroup(calls.groupBy("bucket")).applyInArrow(send, _MEMBERS)
 
@@ -285,7 +285,7 @@ def build(nodes: DataFrame, kind: str, total: int, buckets: int) -> DataFrame:
 
     first = nodes.select("node", "vector", *[g.alias(f"group{i}") for i, g in enumerate(drawn)])
     none = [F.lit(b"").alias(c) for c in ("other", "cosine", "fresh")]
-    lists = nodes.select("bucket", "node", "vector", *none, F.lit(0).alias("gained"))
+    lists = nodes.select("bucket", "node", "vector", *none, F.lit(0).alias("gained"), F.lit(_NEVER).alias("worst"))
     graph = _met(first.mapInArrow(begin, _MEMBERS), lists, kind, buckets)
     for _ in range(ROUNDS):
         graph = _met(_called(graph, buckets), graph, kind, buckets)
@@ -373,6 +373,11 @@ def nearest(
     smallest ids are kept as answers, which is all that ties can ask for. Extra
     columns are ignored; an empty table, or a single vector, gives an empty result.
     """
+    with shuffles_freed(rows.sparkSession):
+        return _nearest(rows, is_query, k, vec_id, embedding)
+
+
+def _nearest(rows: DataFrame, is_query: Column, k: int, vec_id: str, embedding: str) -> DataFrame:
     valid = staged(valid_vectors(rows, vec_id, embedding), "vectors")
     lengths = valid.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
     usual = lengths.orderBy(F.desc("n"), F.desc("length")).first()
